@@ -105,10 +105,10 @@ class Lake:
         rows.coalesce(1).write.mode("append").parquet(self._manifest_path)
 
     def publish_current(self, dataset: str, dt: str, run_id: str) -> str:
-        """Copy a published version to ``<dataset>/current`` for readers with a fixed path, and leave a
+        """Copy a published version to ``current/<dataset>`` for readers with a fixed path, and leave a
         manifest row that says which one it is."""
         prefix = self.version_prefix(dataset, dt, run_id)
-        target = f"{dataset}/current"
+        target = f"current/{dataset}"
         self.read_prefix(prefix).write.mode("overwrite").parquet(f"{self.root}/{target}")
         self._enter([(dataset, dt, clean_run_id(run_id), "current", target, None)])
         return target
@@ -133,7 +133,7 @@ class Lake:
 
     @property
     def _manifest_path(self) -> str:
-        return f"{self.root}/_manifest"
+        return f"{self.root}/manifest"
 
     def manifest(self) -> DataFrame:
         try:
@@ -170,7 +170,7 @@ class Lake:
         return self.spark.read.option("pathGlobFilter", "*.parquet").parquet(self.dataset_path(dataset))
 
     def read_current(self, dataset: str) -> DataFrame:
-        return self.read_prefix(f"{dataset}/current")
+        return self.read_prefix(f"current/{dataset}")
 
     def verify(self, dataset: str, dt: str, run_id: str, schema: T.StructType | None = None) -> int:
         """Row count of a published version; raises when it is empty or has other columns."""

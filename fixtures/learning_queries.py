@@ -9,6 +9,8 @@ from fixtures.views import labels, tx, tx_geo, with_tx
 from tidemark.operators import metrics, prepare
 from tidemark.operators.model import TrainConfig, train
 from tidemark.plans import silver, training
+from tidemark.session import shared_dir
+from tidemark.sources.lake import Lake
 
 GAPPY_SQL = """
 gappy as (select t_id, case when event_type <> 'view' then amount end as amount,
@@ -153,4 +155,8 @@ def fit_score(spark, sf_dir):
     df = training.training_set(
         events, known, silver.card_history(features), silver.merchant_history(features), tie=("t_id",)
     )
+    # Training passes over the set many times: it is written once and read back.
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    lake.publish(df, "silver/training_set", "2024-01-30", "r1")
+    df = lake.read("silver/training_set")
     return train(df, TrainConfig(max_iter=100)).scored.withColumn("score", F.round("score", 4))

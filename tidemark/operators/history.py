@@ -90,13 +90,17 @@ class _Plan:
     # -- shared pieces ---------------------------------------------------------------------------
 
     def _whole(self, value: str | None) -> Column:
-        """The summed column as a whole number (cents for money): long sums are exact and cheap."""
+        """The summed column as a whole number (cents for money): long sums are exact and cheap.
+
+        NULL for rows without a time: they are in nobody's past.
+        """
         if value is None:
-            return F.lit(1).cast("long")
-        dtype = self.types[value]
-        if isinstance(dtype, T.DecimalType):
-            return (F.col(value) * F.lit(10**dtype.scale)).cast("long")
-        return F.col(value).cast("long")
+            number = F.lit(1)
+        elif isinstance(self.types[value], T.DecimalType):
+            number = F.col(value) * F.lit(10 ** self.types[value].scale)
+        else:
+            number = F.col(value)
+        return F.when(F.col(self.seconds).isNotNull(), number.cast("long"))
 
     def _final(self, spec: Rolling, total: Column) -> Column:
         dtype = self.types.get(spec.value) if spec.value else None
@@ -177,8 +181,7 @@ class _Plan:
     def _arrivals_and_departures(self) -> DataFrame:
         """One row per event plus one narrow row per window length at the second it drops out."""
         at = F.col(self.seconds)
-        timed = at.isNotNull()
-        whole = {v: F.when(timed, self._whole(v)) for v in self.values}
+        whole = {v: self._whole(v) for v in self.values}
         lengths = sorted({r.seconds for r in self.rolling if r.seconds is not None})
         no_value = F.lit(None).cast("long")
 

@@ -6,9 +6,8 @@ Everything learned is one row (or one short table) of statistics; applying it is
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import DEFAULT_TILES, TilePolicy, kth_smallest, quantiles
@@ -51,8 +50,35 @@ def stratified_split(
 
 
 def medians(df: DataFrame, columns: Sequence[str], policy: TilePolicy = DEFAULT_TILES) -> dict[str, float | None]:
-    """Exact median per column; the mean of the two middle values when their number is even."""
-    return {c: quantiles(df, c, {"m": 0.5}, policy).first()["m"] for c in columns}
+    """Exact median per column; the mean of the two middle values when their number is even.
+
+    All columns are counted in one pass as (column, value) pairs. Columns with few distinct values are
+    finished together, one window partition each; the others go through the tiled quantile one by one.
+    """
+    if not columns:
+        return {}
+    pairs = F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns))
+    values = df.select(F.inline(pairs)).filter(F.col("v").isNotNull())
+    counted = values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["c"]: r["k"] for r in counted.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
+    out: dict[str, float | None] = dict.fromkeys(columns)
+    small = [c for c, k in sizes.items() if k <= policy.tile_rows]
+    if small:
+        per_column = Window.partitionBy("c")
+        before = per_column.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counted.filter(F.col("c").isin(small)).withColumns(
+            {"first": F.coalesce(F.sum("n").over(before), F.lit(0)), "rows": F.sum("n").over(per_column)}
+        )
+
+        def at(rank: Column) -> Column:
+            return F.max(F.when((F.col("first") <= rank) & (F.col("first") + F.col("n") > rank), F.col("v")))
+
+        low, high = at(F.floor((F.col("rows") - 1) / 2)), at(F.ceil((F.col("rows") - 1) / 2))
+        for row in placed.groupBy("c").agg((low + (high - low) * 0.5).alias("m")).collect():
+            out[row["c"]] = row["m"]
+    for c in sizes.keys() - set(small):
+        out[c] = quantiles(df, c, {"m": 0.5}, policy).first()["m"]
+    return out
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], policy: TilePolicy = DEFAULT_TILES) -> DataFrame:
@@ -115,7 +141,5 @@ def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFr
     weights = class_weights(df, label).limit(1001).collect()
     if len(weights) > 1000:
         raise ValueError(f"{label} has more than 1000 classes")
-    column = reduce(
-        lambda chain, row: chain.when(F.col(label) == F.lit(row[label]), F.lit(row["weight"])), weights, F
-    )
-    return df.withColumn(name, column)
+    by_class = F.create_map(*(F.lit(x) for row in weights for x in (row[label], row["weight"])))
+    return df.withColumn(name, F.try_element_at(by_class, F.col(label)))

@@ -20,12 +20,12 @@ SPECS = [
     Rolling("ever", None, "y"),
 ]
 LAGS = [Lag("prev_s"), Lag("prev_tag", "tag")]
-# Sliding frames; running totals; running totals with every key cut into tiles.
 POLICIES = {
-    "sliding": SkewPolicy(),
+    "sliding": SkewPolicy(frame_rows=1000),
     "running": SkewPolicy(frame_rows=0),
     "tiled": SkewPolicy(frame_rows=0, tile_rows=3),
-    "some_tiled": SkewPolicy(frame_rows=2, tile_rows=6, max_keys=1),
+    "split": SkewPolicy(frame_rows=3, tile_rows=6, split_share=1.0),
+    "list_too_short": SkewPolicy(frame_rows=2, tile_rows=6, max_keys=1),
 }
 
 

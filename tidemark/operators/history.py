@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tidemark.operators.tiles import (
     add_tile,
     is_heavy,
     measure,
+    split_by_load,
     tile_opening_second,
     within_key_span,
 )
@@ -63,26 +65,31 @@ def history(
     the lags. Summed columns must be integral or decimal: both plans below then give the same exact
     result. Decimal sums come back as double.
 
-    Light keys: one exchange on the keys, one sort, sliding frames. As soon as one key is above
-    ``policy.frame_rows`` the sliding frames (quadratic per key) give way to running totals: each event
-    also emits one narrow row per window length at the second it *leaves* that window, and a trailing
-    sum is the running total of arrivals minus that of departures. Keys above ``policy.tile_rows`` are
-    cut into time tiles on top of that (see :mod:`tidemark.operators.tiles`).
+    Sparse keys: one exchange on the keys, one sort, sliding frames. A sliding frame re-adds its rows for
+    every row, so dense keys (over ``policy.frame_rows`` rows in the longest frame) get running totals
+    instead: each event also emits one narrow row per window length at the second it *leaves* that
+    window, and a trailing sum is the running total of arrivals minus that of departures. If the dense
+    keys are the smaller part of the table, they are computed apart from the rest. Keys above
+    ``policy.tile_rows`` are cut into time tiles on top (see :mod:`tidemark.operators.tiles`).
     """
     require(df, [*keys, seconds, *order_id, *(r.value for r in rolling if r.value)])
-    load = load or measure(df, keys, F.col(seconds), policy)
-    plan = _Plan(df, tuple(keys), seconds, tuple(order_id), tuple(rolling), tuple(lags))
-    if load.slides or (not load.tiled and not rolling):
-        return plan.sliding()
-    return plan.running(load)
+    plan = _Plan(df.columns, df.schema, tuple(keys), seconds, tuple(order_id), tuple(rolling), tuple(lags))
+    load = load or measure(df, keys, F.col(seconds), policy, plan.reach)
+    if not load.any_listed:
+        return plan.sliding(df)
+    if plan.reach is None or not load.splits:
+        return plan.running(df, load)
+    dense, sparse = split_by_load(df, load)
+    return plan.running(dense, load).unionByName(plan.sliding(sparse))
 
 
 class _Plan:
-    def __init__(self, df, keys, seconds, order_id, rolling, lags):
-        self.df, self.keys, self.seconds, self.order_id = df, keys, seconds, order_id
+    def __init__(self, columns, schema, keys, seconds, order_id, rolling, lags):
+        self.columns, self.keys, self.seconds, self.order_id = columns, keys, seconds, order_id
         self.rolling, self.lags = rolling, lags
-        self.types = {f.name: f.dataType for f in df.schema}
+        self.types = {f.name: f.dataType for f in schema}
         self.values = list(dict.fromkeys(r.value for r in rolling))
+        self.reach = max((r.seconds for r in rolling if r.seconds is not None), default=None)
         for v in self.values:
             if v is not None and not isinstance(self.types[v], (T.IntegralType, T.DecimalType)):
                 raise ContractError(f"{v}: cast to decimal or integer before rolling sums")
@@ -110,17 +117,13 @@ class _Plan:
             total = total.cast("double")
         return F.when(F.col(self.seconds).isNotNull(), total).alias(spec.name)
 
-    def _lag_struct(self) -> Column:
-        fields = [F.col(lag.column or self.seconds).alias(f"l{i}") for i, lag in enumerate(self.lags)]
-        return F.struct(*fields)
+    # -- sparse keys ------------------------------------------------------------------------------
 
-    # -- light keys ------------------------------------------------------------------------------
-
-    def sliding(self) -> DataFrame:
+    def sliding(self, df: DataFrame) -> DataFrame:
         by_time = Window.partitionBy(*self.keys).orderBy(self.seconds)
         by_row = Window.partitionBy(*self.keys).orderBy(self.seconds, *self.order_id)
         # Lags first: the finer sort order they need also serves the range frames.
-        out = self.df.withColumns(
+        out = df.withColumns(
             {lag.name: F.lag(lag.column or self.seconds, 1).over(by_row) for lag in self.lags}
         )
         columns = {}
@@ -131,26 +134,28 @@ class _Plan:
             columns[spec.name] = self._final(spec, aggregate(self._whole(spec.value)).over(frame))
         return out.withColumns(columns)
 
-    # -- heavy keys ------------------------------------------------------------------------------
+    # -- dense keys ------------------------------------------------------------------------------
 
-    def running(self, load: KeyLoad) -> DataFrame:
-        rows = self._arrivals_and_departures()
+    def running(self, df: DataFrame, load: KeyLoad) -> DataFrame:
+        rows = self._arrivals_and_departures(df)
         part = list(self.keys)
         if load.tiled:
             rows = add_tile(rows, load, F.col("__at")).filter(
                 F.col("__row").isNotNull() | within_key_span(F.col("__at"))
             )
-            rows = rows.unionByName(self._carry(rows))
+            rows = rows.unionByName(self._carry(rows), allowMissingColumns=True)
             part.append(TILE)
+        # Moved and sorted while narrow; the columns the windows add up are spread out after that.
+        rows = rows.select(*[c for c in rows.columns if c not in HELPERS or c == TILE])
+        rows = rows.repartition(*part).sortWithinPartitions(*part, "__at", *self._ids)
+        rows = rows.withColumns(self._spread(tiled=load.tiled))
 
-        ids = [F.col(f"__row.{c}") for c in self.order_id]
         by_time = Window.partitionBy(*part).orderBy("__at")
         upto = by_time.rangeBetween(Window.unboundedPreceding, 0)
         before = by_time.rangeBetween(Window.unboundedPreceding, -1)
-        earlier_rows = (
-            Window.partitionBy(*part).orderBy("__at", *ids).rowsBetween(Window.unboundedPreceding, -1)
-        )
         if self.lags:
+            by_row = Window.partitionBy(*part).orderBy("__at", *self._ids)
+            earlier_rows = by_row.rowsBetween(Window.unboundedPreceding, -1)
             rows = rows.withColumn("__prev", F.last("__lag", ignorenulls=True).over(earlier_rows))
         totals = {}
         for i, spec in enumerate(self.rolling):
@@ -162,10 +167,10 @@ class _Plan:
             total = arrived - left
             if spec.value is not None:
                 last_seen = F.max(f"__seen{v}").over(before if spec.prior else upto)
-                reach = last_seen.isNotNull()
+                reached = last_seen.isNotNull()
                 if spec.seconds is not None:
-                    reach = reach & (last_seen >= F.col("__at") - spec.seconds)
-                total = F.when(reach, total)
+                    reached = reached & (last_seen >= F.col("__at") - spec.seconds)
+                total = F.when(reached, total)
             totals[f"__t{i}"] = total
         rows = rows.withColumns(totals).filter(F.col("__row").isNotNull())
         return rows.select(
@@ -173,75 +178,87 @@ class _Plan:
             *(F.col(f"__prev.l{i}").alias(lag.name) for i, lag in enumerate(self.lags)),
             *(F.col(f"__t{i}") for i in range(len(self.rolling))),
         ).select(
-            *self.df.columns,
+            *self.columns,
             *(lag.name for lag in self.lags),
             *(self._final(spec, F.col(f"__t{i}")) for i, spec in enumerate(self.rolling)),
         )
 
-    def _arrivals_and_departures(self) -> DataFrame:
-        """One row per event plus one narrow row per window length at the second it drops out."""
-        at = F.col(self.seconds)
-        whole = {v: self._whole(v) for v in self.values}
-        lengths = sorted({r.seconds for r in self.rolling if r.seconds is not None})
-        no_value = F.lit(None).cast("long")
+    @property
+    def _ids(self) -> list[str]:
+        return [f"__id{i}" for i in range(len(self.order_id))] if self.lags else []
 
-        def entry(after: int, outs: list[Column]) -> Column:
-            return F.struct(
-                F.lit(after).cast("long").alias("after"), *(o.alias(f"o{i}") for i, o in enumerate(outs))
-            )
+    def _arrivals_and_departures(self, df: DataFrame) -> DataFrame:
+        """One row per event plus one narrow row per window length at the second it drops out.
 
-        entries = [entry(0, [no_value] * len(self.rolling))]
-        for length in lengths:
-            outs = [whole[r.value] if r.seconds == length else no_value for r in self.rolling]
-            something = F.lit(False)
-            for o, r in zip(outs, self.rolling):
-                if r.seconds == length:
-                    something = something | (F.coalesce(o, F.lit(0)) != 0)
-            entries.append(F.when(something, entry(length + 1, outs)))
-        packed = self.df.select(
-            F.struct(*self.df.columns).alias("__row"),
+        ``__after`` is 0 for the event itself and window length + 1 for a departure; ``__v<j>`` is what
+        arrives or departs.
+        """
+        whole = [self._whole(v) for v in self.values]
+        moves = [F.lit(0).cast("long")]
+        for length in sorted({r.seconds for r in self.rolling if r.seconds is not None}):
+            used = {self.values.index(r.value) for r in self.rolling if r.seconds == length}
+            # A window that adds up this event only as 0 or NULL need not hear of its departure.
+            counts = [F.coalesce(whole[j], F.lit(0)) != 0 for j in sorted(used)]
+            moves.append(F.when(reduce(Column.__or__, counts), F.lit(length + 1).cast("long")))
+        packed = df.select(
+            F.struct(*self.columns).alias("__row"),
             *self.keys,
-            at.alias("__s"),
-            *(whole[v].alias(f"__w{i}") for i, v in enumerate(self.values)),
-            F.explode(F.array_compact(F.array(*entries))).alias("__e"),
+            F.col(self.seconds).alias("__s"),
+            *(F.col(c).alias(name) for c, name in zip(self.order_id, self._ids)),
+            *(w.alias(f"__v{j}") for j, w in enumerate(whole)),
+            F.explode(F.array_compact(F.array(*moves))).alias("__after"),
         )
-        arrives = F.col("__e.after") == 0
-        columns = [
+        arrives = F.col("__after") == 0
+        return packed.select(
             F.when(arrives, F.col("__row")).alias("__row"),
             *self.keys,
-            (F.col("__s") + F.col("__e.after")).alias("__at"),
-        ]
-        for i, v in enumerate(self.values):
-            columns.append(F.when(arrives, F.col(f"__w{i}")).alias(f"__in{i}"))
+            (F.col("__s") + F.col("__after")).alias("__at"),
+            *(F.when(arrives, F.col(name)).alias(name) for name in self._ids),
+            *(f"__v{j}" for j in range(len(whole))),
+            "__after",
+        )
+
+    def _spread(self, tiled: bool) -> dict[str, Column]:
+        """Window inputs: arrivals and last seconds per value, departures per window, lag values."""
+
+        def carried(name: str, own: Column) -> Column:
+            return F.coalesce(own, F.col(f"__carry.{name}")) if tiled else own
+
+        out = {}
+        arrives = F.col("__after") == 0
+        for j, v in enumerate(self.values):
+            value = F.col(f"__v{j}")
+            out[f"__in{j}"] = carried(f"in{j}", F.when(arrives, value))
             if v is not None:
-                columns.append(F.when(arrives & F.col(f"__w{i}").isNotNull(), F.col("__s")).alias(f"__seen{i}"))
-        columns += [F.col(f"__e.o{i}").alias(f"__out{i}") for i in range(len(self.rolling))]
-        out = packed.select(*columns)
+                out[f"__seen{j}"] = carried(f"seen{j}", F.when(arrives & value.isNotNull(), F.col("__at")))
+        for i, spec in enumerate(self.rolling):
+            if spec.seconds is not None:
+                value = F.col(f"__v{self.values.index(spec.value)}")
+                out[f"__out{i}"] = carried(f"out{i}", F.when(F.col("__after") == spec.seconds + 1, value))
         if self.lags:
-            lag_fields = [F.col(f"__row.{lag.column or self.seconds}").alias(f"l{i}") for i, lag in enumerate(self.lags)]
-            out = out.withColumn("__lag", F.when(F.col("__row").isNotNull(), F.struct(*lag_fields)))
+            fields = [F.col(f"__row.{lag.column or self.seconds}").alias(f"l{i}") for i, lag in enumerate(self.lags)]
+            out["__lag"] = carried("lag", F.when(F.col("__row").isNotNull(), F.struct(*fields)))
         return out
 
     def _carry(self, rows: DataFrame) -> DataFrame:
         """For each tile of a heavy key, one row with the totals of the tiles before it."""
-        sums = [c for c in rows.columns if c.startswith(("__in", "__out"))]
-        peaks = [c for c in rows.columns if c.startswith("__seen")]
-        aggregates = [F.sum(c).alias(c) for c in sums] + [F.max(c).alias(c) for c in peaks]
-        if self.lags:
-            newest = F.struct(F.col("__at"), *(F.col(f"__row.{c}") for c in self.order_id))
-            aggregates.append(
-                F.max_by("__lag", F.when(F.col("__lag").isNotNull(), newest)).alias("__lag")
-            )
-        helper_aggregates = [F.first(h).alias(h) for h in HELPERS if h != TILE]
-        tiles = rows.filter(is_heavy()).groupBy(*self.keys, TILE).agg(*aggregates, *helper_aggregates)
-        earlier = (
-            Window.partitionBy(*self.keys).orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        totals = {c: F.sum(c).over(earlier) for c in sums}
-        totals.update({c: F.max(c).over(earlier) for c in peaks})
-        if self.lags:
-            totals["__lag"] = F.last("__lag", ignorenulls=True).over(earlier)
-        carry = tiles.withColumns(totals).filter(F.col(TILE) >= 0)
-        return carry.withColumns(
-            {"__row": F.lit(None).cast(rows.schema["__row"].dataType), "__at": tile_opening_second()}
-        ).select(*rows.columns)
+        spread = {name[2:]: column for name, column in self._spread(tiled=False).items()}
+        heavy = rows.filter(is_heavy()).withColumns(spread)
+        aggregates = {}
+        for name in spread:
+            if name == "lag":
+                newest = F.struct("__at", *self._ids)
+                aggregates[name] = F.max_by("lag", F.when(F.col("lag").isNotNull(), newest))
+            else:
+                aggregates[name] = (F.max if name.startswith("seen") else F.sum)(name)
+        helpers = [F.first(h).alias(h) for h in HELPERS if h != TILE]
+        tiles = heavy.groupBy(*self.keys, TILE).agg(*(a.alias(n) for n, a in aggregates.items()), *helpers)
+        earlier = Window.partitionBy(*self.keys).orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)
+
+        def so_far(name: str) -> Column:
+            if name == "lag":
+                return F.last(name, ignorenulls=True).over(earlier)
+            return (F.max if name.startswith("seen") else F.sum)(name).over(earlier)
+
+        carry = tiles.withColumns({name: so_far(name) for name in spread}).filter(F.col(TILE) >= 0)
+        return carry.select(*self.keys, *HELPERS, F.struct(*spread).alias("__carry"), tile_opening_second().alias("__at"))

@@ -2,14 +2,14 @@
 
 A window partitioned by key puts all rows of one key into one task. That is the best plan as long as
 every key fits into a task, and a dead end when one card or merchant owns a third of the table. So the
-keyed operators first *measure*: one narrow aggregate lists the keys above a row threshold. Without
-such keys the plain one-shuffle window runs. With them, the heavy keys, and only they, are cut into
-time tiles of about ``tile_rows`` rows: the window is partitioned by (key, tile), and each tile is
-opened by one *carry row* that sums up everything the key did before the tile.
-
-Sizes: tiles number at most ``rows / tile_rows`` plus one per heavy key, and the list of heavy keys is
-cut at ``max_keys``, which bounds what is broadcast. Keys beyond the list are still computed in full,
-as plain partitions; being outside the ``max_keys`` largest, each holds at most ``rows / max_keys`` rows.
+keyed operators first *measure*: one narrow aggregate lists the keys that need care. Without such keys
+the plain one-shuffle window runs. With them, keys above ``tile_rows``, and only they, are cut into time
+tiles of about that many rows: the window is partitioned by (key, tile), and each tile is opened by one
+*carry row* that sums up everything the key did before the tile.
+
+Sizes: tiles number at most ``rows / tile_rows`` plus one per heavy key, and the list of keys is cut at
+``max_keys``, which bounds what is broadcast. Keys beyond the list are still computed in full, as plain
+partitions; being outside the ``max_keys`` largest, each holds at most ``rows / max_keys`` rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import require
@@ -32,11 +32,12 @@ HELPERS = (TILE, _START, _WIDTH, _END)
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """Row thresholds per key."""
+    """When a key counts as dense or heavy."""
 
-    frame_rows: int = 20_000  # a sliding frame re-adds its rows for each row: quadratic above this
+    frame_rows: int = 500  # rows in the longest frame above which re-adding a frame per row costs more
     tile_rows: int = 500_000  # target rows per (key, tile)
-    max_keys: int = 100_000  # longest list of heavy keys held on the driver
+    max_keys: int = 100_000  # longest list of keys held on the driver and broadcast
+    split_share: float = 0.5  # up to this share of the rows, listed keys get a plan of their own
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -44,20 +45,23 @@ DEFAULT_POLICY = SkewPolicy()
 
 @dataclass(frozen=True)
 class KeyLoad:
-    """The keys above ``policy.frame_rows``: columns = key columns, n, lo, hi (epoch seconds)."""
+    """The keys that need care: columns = key columns, n, lo, hi (epoch seconds); largest first."""
 
     keys: tuple[str, ...]
     policy: SkewPolicy
     table: pa.Table
+    total_rows: int
 
     @property
-    def max_rows(self) -> int:
-        return pc.max(self.table["n"]).as_py() or 0
+    def any_listed(self) -> bool:
+        return self.table.num_rows > 0
 
     @property
-    def slides(self) -> bool:
-        """True when sliding frames are affordable for every key."""
-        return self.max_rows <= self.policy.frame_rows
+    def splits(self) -> bool:
+        """True when the list is complete and covers the smaller part of the rows."""
+        listed = pc.sum(self.table["n"]).as_py() or 0
+        complete = self.table.num_rows < self.policy.max_keys
+        return complete and listed <= self.policy.split_share * self.total_rows
 
     @property
     def heavy(self) -> pa.Table:
@@ -65,30 +69,55 @@ class KeyLoad:
 
     @property
     def tiled(self) -> bool:
-        return self.max_rows > self.policy.tile_rows
+        return self.heavy.num_rows > 0
 
 
 def measure(
-    df: DataFrame, keys: Sequence[str], seconds: Column, policy: SkewPolicy = DEFAULT_POLICY
+    df: DataFrame,
+    keys: Sequence[str],
+    seconds: Column,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    reach: int | None = None,
 ) -> KeyLoad:
-    """Count rows per key (partial aggregation, key and time columns only) and keep the large ones."""
+    """Count rows per key (partial aggregation over the key and time columns) and list the keys above
+    ``tile_rows``; with ``reach``, also those with over ``frame_rows`` rows per ``reach`` seconds."""
     require(df, keys)
     stats = (
         df.select(*keys, seconds.alias("__s"))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.min("__s").alias("lo"), F.max("__s").alias("hi"))
-        .filter(F.col("n") > min(policy.frame_rows, policy.tile_rows))
+    )
+    listed = F.col("n") > policy.tile_rows
+    if reach is not None:
+        covered = F.least(F.lit(1.0), (reach + 1) / (F.col("hi") - F.col("lo") + 1))
+        listed = listed | (F.col("n") * covered > policy.frame_rows)
+    seen = Observation()
+    found = (
+        stats.observe(seen, F.sum("n").alias("rows"))
+        .filter(listed & F.col("lo").isNotNull())
         .orderBy(F.col("n").desc(), *keys)
         .limit(policy.max_keys)
+        .toArrow()
     )
-    return KeyLoad(tuple(keys), policy, stats.toArrow())
+    return KeyLoad(tuple(keys), policy, found, seen.get["rows"] or 0)
+
+
+def split_by_load(df: DataFrame, load: KeyLoad) -> tuple[DataFrame, DataFrame]:
+    """(rows of listed keys, all other rows)."""
+    keys = pa.table({f"__h_{k}": load.table[k] for k in load.keys})
+    listed = df.sparkSession.createDataFrame(keys)
+    same_key = _same_key(df, listed, load)
+    return df.join(F.broadcast(listed), same_key, "left_semi"), df.join(F.broadcast(listed), same_key, "left_anti")
+
+
+def _same_key(df: DataFrame, listed: DataFrame, load: KeyLoad) -> Column:
+    return reduce(lambda a, b: a & b, (df[k].eqNullSafe(listed[f"__h_{k}"]) for k in load.keys))
 
 
 def add_tile(df: DataFrame, load: KeyLoad, seconds: Column) -> DataFrame:
     """Add the tile number: 0 for light keys, -1 for heavy keys without a time."""
     heavy = _heavy_keys(df.sparkSession, load)
-    same_key = reduce(lambda a, b: a & b, (df[k].eqNullSafe(heavy[f"__h_{k}"]) for k in load.keys))
-    joined = df.join(F.broadcast(heavy), same_key, "left").drop(*(f"__h_{k}" for k in load.keys))
+    joined = df.join(F.broadcast(heavy), _same_key(df, heavy, load), "left").drop(*(f"__h_{k}" for k in load.keys))
     tile = F.floor((seconds - F.col(_START)) / F.col(_WIDTH))
     return joined.withColumn(
         TILE, F.when(F.col(_WIDTH).isNull(), F.lit(0)).otherwise(F.coalesce(tile, F.lit(-1))).cast("long")

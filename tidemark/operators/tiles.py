@@ -35,7 +35,7 @@ class SkewPolicy:
     """When a key counts as dense or heavy."""
 
     frame_rows: int = 500  # rows in the longest frame above which re-adding a frame per row costs more
-    tile_rows: int = 500_000  # target rows per (key, tile)
+    tile_rows: int = 100_000  # target rows per (key, tile)
     max_keys: int = 100_000  # longest list of keys held on the driver and broadcast
     split_share: float = 0.5  # up to this share of the rows, listed keys get a plan of their own
 

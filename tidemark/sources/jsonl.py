@@ -30,13 +30,16 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType)
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT).json([hadoop_uri(p) for p in paths])
-    # Every column stays part of both plans: a scan pruned to no column would not parse the lines.
-    rows = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rejects = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("file")
+    lines = spark.read.text([hadoop_uri(p) for p in paths]).filter(F.col("value").rlike(r"\S"))
+    # Parsed as an expression: the JSON source would parse only the columns a query asks for, and which
+    # lines count as broken would depend on the query.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.select("value", "_metadata.file_path", F.from_json("value", full, options).alias("r"))
+    broken = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    return Landed(
+        parsed.filter(~broken).select("r.*").drop(CORRUPT),
+        parsed.filter(broken).select(F.col("value").alias("line"), F.col("file_path").alias("file")),
     )
-    return Landed(rows, rejects)
 
 
 def typed(rows: DataFrame, time_columns: tuple[str, ...] = ("ts",)) -> DataFrame:

@@ -39,7 +39,7 @@ def latest_versions(manifest: DataFrame, by: Sequence[str] = ("dataset", "dt"))
     """The newest manifest entry per dataset and date, or per dataset alone; empty prefixes are no entry."""
     newest = F.struct("published_at", "run_id")
     rest = [c for c in manifest.columns if c not in by]
-    real = manifest.filter(F.trim("prefix") != "")
+    real = manifest.filter(F.col("prefix").rlike(r"\S"))
     return (
         real.groupBy(*by).agg(F.max_by(F.struct(*rest), newest).alias("v")).select(*by, *(f"v.{c}" for c in rest))
     )

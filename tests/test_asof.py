@@ -37,7 +37,7 @@ KEY = st.sampled_from(["a", "a", "b", None])
 TIME = st.one_of(st.integers(0, 40), st.none())
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.generate])
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.generate])
 @given(
     st.lists(st.tuples(KEY, TIME), max_size=15),
     st.lists(st.tuples(KEY, TIME, st.one_of(st.none(), st.just("v"))), max_size=15),

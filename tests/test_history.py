@@ -72,7 +72,7 @@ EVENT = st.tuples(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.generate])
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.generate])
 @given(st.lists(EVENT, min_size=1, max_size=25))
 def test_all_plans_equal_brute_force(spark, drawn):
     events = [(i, k, s, a, y, f"t{i}") for i, (k, s, a, y) in enumerate(drawn)]

@@ -20,7 +20,7 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import require
@@ -91,15 +91,18 @@ def measure(
     if reach is not None:
         covered = F.least(F.lit(1.0), (reach + 1) / (F.col("hi") - F.col("lo") + 1))
         listed = listed | (F.col("n") * covered > policy.frame_rows)
-    seen = Observation()
     found = (
-        stats.observe(seen, F.sum("n").alias("rows"))
-        .filter(listed & F.col("lo").isNotNull())
+        stats.filter(listed & F.col("lo").isNotNull())
         .orderBy(F.col("n").desc(), *keys)
         .limit(policy.max_keys)
-        .toArrow()
+        .withColumn("is_total", F.lit(False))
     )
-    return KeyLoad(tuple(keys), policy, found, seen.get["rows"] or 0)
+    # The total reads the same columns as the list, so that both share one exchange.
+    total = stats.agg(*(f(c).alias(c) for f, c in ((F.sum, "n"), (F.min, "lo"), (F.max, "hi"))))
+    table = found.unionByName(total.withColumn("is_total", F.lit(True)), allowMissingColumns=True).toArrow()
+    is_total = table["is_total"]
+    total_rows = pc.sum(table.filter(is_total)["n"]).as_py() or 0
+    return KeyLoad(tuple(keys), policy, table.filter(pc.invert(is_total)).drop_columns("is_total"), total_rows)
 
 
 def split_by_load(df: DataFrame, load: KeyLoad) -> tuple[DataFrame, DataFrame]:

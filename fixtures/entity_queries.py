@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from fixtures.history_queries import FEATURES_SQL
+from fixtures.history_queries import FEATURES_SQL, card_states, merchant_states
 from fixtures.registry import query
-from fixtures.views import labels, ntz, tx, tx_geo, with_tx
+from fixtures.views import ntz, tx, with_tx
 from tidemark.operators.entities import (
     DAY,
     card_view,
@@ -42,8 +42,7 @@ WINDOW_SQL = with_tx(
 
 
 def _card_states(spark, sf_dir):
-    events = tx_geo(spark, sf_dir).select("t_id", "ts", "ts_epoch", "cc_num", "amount", "ip_address", "card_present")
-    return silver.card_history(silver.card_features(events))
+    return silver.card_history(card_states(spark, sf_dir))
 
 
 @query("materialize_window", WINDOW_SQL)
@@ -71,10 +70,9 @@ found as (select p.cc_num, p.merchant_id, c.cc_cnt_10m, cast(c.cc_sum_amt_10m as
 
 
 def _found(spark, sf_dir):
-    features = silver.transaction_features(tx_geo(spark, sf_dir).drop("label_is_fraud"), labels(spark, sf_dir))
     online = {
-        CARD.name: (CARD, CARD.project(silver.card_snapshot(features))),
-        MERCHANT.name: (MERCHANT, MERCHANT.project(silver.merchant_snapshot(features))),
+        CARD.name: (CARD, CARD.project(silver.card_snapshot(card_states(spark, sf_dir)))),
+        MERCHANT.name: (MERCHANT, MERCHANT.project(silver.merchant_snapshot(merchant_states(spark, sf_dir)))),
     }
     requests = tx(spark, sf_dir).select("cc_num", "merchant_id").distinct()
     return lookup(requests, online, REFERENCES, ntz(AS_OF), key_ttl_seconds=30 * DAY)

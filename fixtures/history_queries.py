@@ -137,6 +137,17 @@ def label_join(spark, sf_dir):
     return attach_labels(events, known.unionByName(known))
 
 
+def card_states(spark, sf_dir):
+    """Card features per event; they do not depend on labels."""
+    events = tx_geo(spark, sf_dir).select("t_id", "ts", "ts_epoch", "cc_num", "amount", "ip_address", "card_present")
+    return silver.card_features(events)
+
+
+def merchant_states(spark, sf_dir):
+    events = tx(spark, sf_dir).select("t_id", "ts", "ts_epoch", "merchant_id")
+    return silver.merchant_features(attach_labels(events, labels(spark, sf_dir)))
+
+
 def latest_sql(key: str, columns: str) -> str:
     return with_tx(
         f"select {columns} from (select *, row_number() over (partition by {key} order by ts desc, t_id desc) as rn "
@@ -151,14 +162,12 @@ MERCHANT_SNAPSHOT_COLUMNS = "merchant_id, ts as event_ts, " + ", ".join(silver.M
 
 @query("latest_card", latest_sql("cc_num", CARD_SNAPSHOT_COLUMNS))
 def latest_card(spark, sf_dir):
-    events = tx_geo(spark, sf_dir).select("t_id", "ts", "ts_epoch", "cc_num", "amount", "ip_address", "card_present")
-    return silver.card_snapshot(silver.card_features(events))
+    return silver.card_snapshot(card_states(spark, sf_dir))
 
 
 @query("latest_merchant", latest_sql("merchant_id", MERCHANT_SNAPSHOT_COLUMNS))
 def latest_merchant(spark, sf_dir):
-    events = tx(spark, sf_dir).select("t_id", "ts", "ts_epoch", "merchant_id", "label_is_fraud")
-    return silver.merchant_snapshot(silver.merchant_features(events))
+    return silver.merchant_snapshot(merchant_states(spark, sf_dir))
 
 
 @query(

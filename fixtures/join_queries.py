@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fixtures.history_queries import FEATURES_SQL
+from fixtures.history_queries import FEATURES_SQL, card_states, merchant_states
 from fixtures.registry import query
 from fixtures.views import LABELS_SQL, labels, table, tx, tx_geo, with_tx
 from tidemark.operators.asof import asof_join, best_per_left_id
@@ -122,18 +122,17 @@ def _training_sql(card: str, merchant: str) -> str:
 @query("training_set", _training_sql("card_states", "merchant_states"))
 def training_set(spark, sf_dir):
     events, known = tx_geo(spark, sf_dir), labels(spark, sf_dir)
-    features = silver.transaction_features(events.drop("label_is_fraud"), known)
-    return training.training_set(
-        events, known, silver.card_history(features), silver.merchant_history(features), tie=("t_id",)
-    )
+    card = silver.card_history(card_states(spark, sf_dir))
+    merchant = silver.merchant_history(merchant_states(spark, sf_dir))
+    return training.training_set(events, known, card, merchant, tie=("t_id",))
 
 
 @query("training_set_snapshot", _training_sql("card_last", "merchant_last"))
 def training_set_snapshot(spark, sf_dir):
     """Features from the latest-only snapshots: filled where a snapshot is not newer than the event."""
     events, known = tx_geo(spark, sf_dir), labels(spark, sf_dir)
-    features = silver.transaction_features(events.drop("label_is_fraud"), known)
-    return training.training_set(events, known, silver.card_snapshot(features), silver.merchant_snapshot(features))
+    card = silver.card_snapshot(card_states(spark, sf_dir))
+    return training.training_set(events, known, card, silver.merchant_snapshot(merchant_states(spark, sf_dir)))
 
 
 @query(

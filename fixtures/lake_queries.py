@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fixtures.history_queries import CARD_SNAPSHOT_COLUMNS, latest_sql
+from fixtures.history_queries import CARD_SNAPSHOT_COLUMNS, card_states, latest_sql
 from fixtures.quality_queries import RAW_SQL, gate_inputs
 from fixtures.registry import query
 from fixtures.views import labels, tx, tx_geo, with_tx
@@ -82,8 +82,7 @@ def verify_published(spark, sf_dir):
 @query("publish_current", latest_sql("cc_num", CARD_SNAPSHOT_COLUMNS))
 def publish_current(spark, sf_dir):
     lake = Lake(spark, shared_dir(spark, "lake"))
-    events = tx_geo(spark, sf_dir).select("t_id", "ts", "ts_epoch", "cc_num", "amount", "ip_address", "card_present")
-    lake.publish(silver.card_snapshot(silver.card_features(events)), "silver/online/card_features", "2024-01-30", "r1")
+    lake.publish(silver.card_snapshot(card_states(spark, sf_dir)), "silver/online/card_features", "2024-01-30", "r1")
     lake.publish_current("silver/online/card_features", "2024-01-30", "r1")
     return lake.read_current("silver/online/card_features")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fixtures.history_queries import card_states, merchant_states
 from fixtures.registry import query
 from fixtures.views import labels, tx, tx_geo, with_tx
 from tidemark.operators import metrics, prepare
@@ -151,10 +152,9 @@ def fit_score(spark, sf_dir):
     """Held-out scores of the baseline model on the point-in-time training set."""
     events, known = tx_geo(spark, sf_dir), labels(spark, sf_dir)
     events = events.withColumns({c: F.col(c).cast("string") for c in ("country", "category")})
-    features = silver.transaction_features(events.drop("label_is_fraud"), known)
-    df = training.training_set(
-        events, known, silver.card_history(features), silver.merchant_history(features), tie=("t_id",)
-    )
+    card = silver.card_history(card_states(spark, sf_dir))
+    merchant = silver.merchant_history(merchant_states(spark, sf_dir))
+    df = training.training_set(events, known, card, merchant, tie=("t_id",))
     # Training passes over the set many times: it is written once and read back.
     lake = Lake(spark, shared_dir(spark, "lake"))
     lake.publish(df, "silver/training_set", "2024-01-30", "r1")

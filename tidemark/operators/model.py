@@ -39,6 +39,7 @@ class TrainConfig:
     stratified: bool = True
     c: float = 1.0
     max_iter: int = 500
+    tol: float = 1e-4
     max_categories: int = 1000
     max_rows: int | None = None
     provenance: dict[str, str] = field(default_factory=dict, hash=False)
@@ -123,6 +124,7 @@ def build_pipeline(train: DataFrame, cfg: TrainConfig) -> tuple[Pipeline, tuple[
             labelCol=cfg.label,
             weightCol="weight",
             maxIter=cfg.max_iter,
+            tol=cfg.tol,
             regParam=regularisation,
             elasticNetParam=0.0,
             standardization=False,

@@ -10,7 +10,7 @@ from tidemark.functions.times import epoch_seconds
 from tidemark.operators.entities import latest
 from tidemark.operators.events import attach_labels, normalize
 from tidemark.operators.history import Lag, Rolling, history
-from tidemark.operators.tiles import DEFAULT_POLICY, SkewPolicy
+from tidemark.operators.tiles import DEFAULT_POLICY, KeyLoad, SkewPolicy, measure
 from tidemark.sources.lake import Lake
 
 # Look-back lengths in seconds and the column names the trained models expect.
@@ -42,15 +42,19 @@ FEATURE_COLUMNS = [
 ]
 
 
-def card_features(tx: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def card_features(
+    tx: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, load: KeyLoad | None = None
+) -> DataFrame:
     """Sums, counts, lags and recency per card: one exchange for all of them."""
-    out = history(tx, ["cc_num"], "ts_epoch", ["t_id"], CARD_ROLLING, CARD_LAGS, policy)
+    out = history(tx, ["cc_num"], "ts_epoch", ["t_id"], CARD_ROLLING, CARD_LAGS, policy, load)
     return out.withColumn("cc_time_since_last_s", F.col("ts_epoch") - F.col("cc_prev_ts_epoch"))
 
 
-def merchant_features(tx: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def merchant_features(
+    tx: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, load: KeyLoad | None = None
+) -> DataFrame:
     """Prior fraud counts per merchant."""
-    return history(tx, ["merchant_id"], "ts_epoch", ["t_id"], MERCHANT_ROLLING, policy=policy)
+    return history(tx, ["merchant_id"], "ts_epoch", ["t_id"], MERCHANT_ROLLING, policy=policy, load=load)
 
 
 def known_fraud_counts(
@@ -81,8 +85,12 @@ def transaction_features(
     narrow = tx.select(
         "t_id", "ts", "ts_epoch", "cc_num", "merchant_id", "amount", "ip_address", "card_present"
     )
-    labelled = attach_labels(narrow, labels)
-    return merchant_features(card_features(labelled, policy), policy).select(*FEATURE_COLUMNS)
+    # Keys are measured on the plain events: the label join and the features keep every row once.
+    seconds = F.col("ts_epoch")
+    card = measure(narrow, ["cc_num"], seconds, policy, max(CARD_SPANS.values()))
+    merchant = measure(narrow, ["merchant_id"], seconds, policy, max(MERCHANT_SPANS.values()))
+    with_card = card_features(attach_labels(narrow, labels), policy, card)
+    return merchant_features(with_card, policy, merchant).select(*FEATURE_COLUMNS)
 
 
 def card_snapshot(features: DataFrame) -> DataFrame:

@@ -28,13 +28,18 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType)
     Blank lines are skipped. A line that is no JSON object, or has a value of the wrong type, goes to
     ``rejects``.
     """
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text([hadoop_uri(p) for p in paths]).filter(F.col("value").rlike(r"\S"))
+    return parse_lines(spark.read.text([hadoop_uri(p) for p in paths]), schema)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType) -> Landed:
+    """The same for a text scan, batch or streaming."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     # Parsed as an expression: the JSON source would parse only the columns a query asks for, and which
     # lines count as broken would depend on the query.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = lines.select("value", "_metadata.file_path", F.from_json("value", full, options).alias("r"))
+    filled = lines.filter(F.col("value").rlike(r"\S"))
+    parsed = filled.select("value", "_metadata.file_path", F.from_json("value", full, options).alias("r"))
     broken = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
     return Landed(
         parsed.filter(~broken).select("r.*").drop(CORRUPT),

@@ -241,24 +241,36 @@ class _Plan:
         return out
 
     def _carry(self, rows: DataFrame) -> DataFrame:
-        """For each tile of a heavy key, one row with the totals of the tiles before it."""
+        """For each tile of a heavy key, carry rows with what the tiles before it add up to.
+
+        Totals and the newest event come from two aggregates, hence as two rows: the totals of all
+        arrivals and departures are combined by hash, only the newest event per tile needs a sort.
+        """
         spread = {name[2:]: column for name, column in self._spread(tiled=False).items()}
-        heavy = rows.filter(is_heavy()).withColumns(spread)
-        aggregates = {}
-        for name in spread:
-            if name == "lag":
-                newest = F.struct("__at", *self._ids)
-                aggregates[name] = F.max_by("lag", F.when(F.col("lag").isNotNull(), newest))
-            else:
-                aggregates[name] = (F.max if name.startswith("seen") else F.sum)(name)
+        lag = spread.pop("lag", None)
+        heavy = rows.filter(is_heavy())
         helpers = [F.first(h).alias(h) for h in HELPERS if h != TILE]
-        tiles = heavy.groupBy(*self.keys, TILE).agg(*(a.alias(n) for n, a in aggregates.items()), *helpers)
         earlier = Window.partitionBy(*self.keys).orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)
 
-        def so_far(name: str) -> Column:
-            if name == "lag":
-                return F.last(name, ignorenulls=True).over(earlier)
-            return (F.max if name.startswith("seen") else F.sum)(name).over(earlier)
+        def opened(tiles: DataFrame, carried: dict[str, Column]) -> DataFrame:
+            carry = tiles.withColumns(carried).filter(F.col(TILE) >= 0)
+            fields = [F.col(n) if n in carried else F.lit(None).cast("long").alias(n) for n in spread]
+            if lag is not None:
+                fields.append(F.col("lag") if "lag" in carried else F.lit(None).cast(lag_type).alias("lag"))
+            return carry.select(
+                *self.keys, *HELPERS, F.struct(*fields).alias("__carry"), tile_opening_second().alias("__at")
+            )
 
-        carry = tiles.withColumns({name: so_far(name) for name in spread}).filter(F.col(TILE) >= 0)
-        return carry.select(*self.keys, *HELPERS, F.struct(*spread).alias("__carry"), tile_opening_second().alias("__at"))
+        parts = []
+        if lag is not None:
+            lag_type = heavy.select(lag.alias("lag")).schema["lag"].dataType
+            newest = F.max_by(lag, F.struct("__at", *self._ids))
+            events = heavy.filter(F.col("__row").isNotNull())
+            last_event = events.groupBy(*self.keys, TILE).agg(newest.alias("lag"), *helpers)
+            parts.append(opened(last_event, {"lag": F.last("lag", ignorenulls=True).over(earlier)}))
+        if spread:
+            add = {name: F.max if name.startswith("seen") else F.sum for name in spread}
+            inputs = heavy.select(*self.keys, *HELPERS, *(c.alias(n) for n, c in spread.items()))
+            totals = inputs.groupBy(*self.keys, TILE).agg(*(f(n).alias(n) for n, f in add.items()), *helpers)
+            parts.append(opened(totals, {n: f(n).over(earlier) for n, f in add.items()}))
+        return reduce(DataFrame.unionByName, parts)

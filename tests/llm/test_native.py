@@ -80,7 +80,7 @@ def test_secrets_on_odd_rows(spark):
     assert rows(secrets.report(docs).drop("spans")) == brute_secrets(odd)
     assert secrets.report(docs.limit(0)).count() == 0
     more = secrets.report(spark.createDataFrame([(1, "a ghp_" + "a" * 36 + " https://joe:hunter2@host/ password: abcdefgh")], "doc_id int, text string")).first()
-    assert more["spans"] == "github:2:42,urlauth:43:63,assign:68:86" and more["n_assign"] == 1
+    assert more["spans"] == "github:2:42,hex:6:42,urlauth:43:63,assign:69:87" and more["n_assign"] == 1
 
 
 def test_secrets_on_the_tables(spark):

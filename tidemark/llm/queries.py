@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, licenses, packing, secrets, warc
+from tidemark.llm import decontaminate, licenses, packing, secrets, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -35,11 +39,17 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
+    "op6_html_text": op6_html_text,
     "op7_decontaminate": op7_decontaminate,
     "op8_license_scan": op8_license_scan,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLES: dict[str, str] = {}

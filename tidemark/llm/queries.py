@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, jaccard, licenses, packing, secrets, toxicity, warc, wrappers
+from tidemark.llm import decontaminate, jaccard, licenses, lines, packing, secrets, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
@@ -56,5 +60,6 @@ QUERIES: dict[str, Query] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_license_scan": op8_license_scan,
     "op9_toxicity": op9_toxicity,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {}

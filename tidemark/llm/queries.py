@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, jaccard, licenses, lines, packing, secrets, toxicity, warc, wrappers
+from tidemark.llm import decontaminate, embeddings, jaccard, licenses, lines, packing, secrets, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(_table(spark, sf_dir, "pages"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_html_text": op6_html_text,
     "op7_decontaminate": op7_decontaminate,
     "op8_license_scan": op8_license_scan,

@@ -188,12 +188,71 @@ def _counted(docs: DataFrame, per_doc) -> DataFrame:
 def _surprise(bad: int, good: int, base: float) -> float:
     """Log-likelihood ratio of the share of toxic documents against the base share, where it is above."""
     n = bad + good
-    share = bad / n
+    share = bad / n if n else 0.0
     if share <= base:
         return 0.0
     return 2 * (bad * math.log(share / base) + (good * math.log((1 - share) / (1 - base)) if good else 0.0))
 
 
+def most_general(telling: dict[str, int]) -> tuple[frozenset[str], frozenset[str]]:
+    """Of telling words and beginnings (with their toxic documents), those that the others do not make needless.
+
+    A longer beginning goes if a shorter one is in clearly more documents, else the shorter goes; a word goes
+    if one of its beginnings is in clearly more documents, else these beginnings go.
+    """
+    beginnings = {k: n for k, n in telling.items() if k[-1] != " "}
+    for k in sorted(beginnings, key=lambda k: (len(k), k), reverse=True):
+        shorter = k[:-1]
+        if k in beginnings and shorter in beginnings:
+            beginnings.pop(k if beginnings[shorter] > 1.1 * beginnings[k] else shorter)
+    words = {}
+    for k, n in telling.items():
+        if k[-1] == " ":
+            heads = [k[:m] for m in BEGINNINGS if k[:m] in beginnings and len(k) - 1 > m]
+            if not any(beginnings[h] > 1.5 * n for h in heads):
+                words[k[:-1]] = heads
+    needless = {h for heads in words.values() for h in heads}
+    return frozenset(words), frozenset(beginnings) - needless
+
+
+def explaining(toxic: DataFrame, terms: frozenset[str], beginnings: frozenset[str], telling) -> tuple[frozenset[str], frozenset[str]]:
+    """The terms and beginnings that explain the toxic documents, taken greedily.
+
+    Copies of a toxic document make all its words telling. So each document wants two hits explained: what adds
+    to most documents is taken first, and what adds to too few documents to be telling by itself is not taken.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in batch.column(0).to_pylist():
+                found: Counter = Counter()
+                for w in WORDS.findall((text or "").lower()):
+                    found.update([f"{w} "] if w in terms else [])
+                    found.update(w[:n] for n in BEGINNINGS if len(w) > n and w[:n] in beginnings)
+                out.append([k for k, n in found.items() for _ in range(min(n, 2))])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string()))], ["keys"])
+
+    # At most FIT_ROWS documents, and of these only the telling words.
+    docs = [Counter(r["keys"]) for r in toxic.select("text").mapInArrow(listed, "keys array<string>").collect()]
+    wanted, holders = [2] * len(docs), {}
+    for k, found in enumerate(docs):
+        for key in found:
+            holders.setdefault(key, []).append(k)
+    taken: set[str] = set()
+    open_ = dict.fromkeys(sorted(holders))
+    while open_:
+        gain = {key: sum(wanted[k] > 0 for k in holders[key]) for key in open_}
+        best = max(gain, key=gain.get)
+        if not gain[best] or not telling(best, gain[best]):
+            break
+        taken.add(best)
+        for k in holders[best]:
+            wanted[k] -= docs[k][best]
+        open_ = {key: None for key in open_ if key != best and telling(key, gain[key])} if gain[best] else {}
+    return frozenset(k[:-1] for k in taken if k[-1] == " "), frozenset(k for k in taken if k[-1] != " ")
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> Model:
     """Learn from the labelled documents that are not held out."""
     known = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and label_id is not null")
@@ -209,17 +268,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     base = sizes[1] / (sizes[0] + sizes[1])
     least = max(2, math.ceil(math.log(10) / -math.log(base)))
     bad = _counted(train.where("toxic = 1"), lambda t, _: features(t)).select("key", "bad")
-    seen = bad.where(F.col("bad") >= least).orderBy(F.desc("bad"), "key").limit(20 * LEXICON).collect()
+    seen = bad.where(F.col("bad") >= least).orderBy(F.desc("bad"), "key").limit(5 * LEXICON).collect()
     candidates = {r["key"]: r["bad"] for r in seen}
-    good = {r["key"]: r["good"] for r in _counted(train.where("toxic = 0"), lambda t, _: features(t) & candidates.keys()).collect()}
+    known_keys = frozenset(candidates)
+    good = {r["key"]: r["good"] for r in _counted(train.where("toxic = 0"), lambda t, _: features(t) & known_keys).collect()}
     # Tested against the number of candidates, so that about one in ten runs keeps a word by chance.
     needed = 2 * math.log(10 * max(1, len(candidates)))
     scored = sorted(((_surprise(n, good.get(k, 0), base), k) for k, n in candidates.items()), key=lambda x: (-x[0], x[1]))
-    telling = [k for s, k in scored if s >= needed and candidates[k] >= 4 * good.get(k, 0)][:LEXICON]
-    terms = frozenset(k[:-1] for k in telling if k[-1] == " ")
-    beginnings = frozenset(k for k in telling if k[-1] != " ")
-    plain = Trie(terms, beginnings)
-    met = _counted(train.where("toxic = 0"), lambda t, _: {w for w in set(WORDS.findall(t.lower())) if plain.find(w) == 2})
+    telling = {k: candidates[k] for s, k in scored if s >= needed and candidates[k] >= 4 * good.get(k, 0)}
+    terms, beginnings = most_general(dict(list(telling.items())[:LEXICON]))
+    terms, beginnings = explaining(train.where("toxic = 1"), terms, beginnings, lambda key, bad: _surprise(bad, good.get(key, 0), base) >= needed)
+    near = Memory(Trie(terms, beginnings))
+    met = _counted(train.where("toxic = 0"), lambda t, _: {w for w in set(WORDS.findall(t.lower())) if near[w] == 2})
     # Words one edit from a term that harmless documents use. There are few: so many edits have the terms.
     trie = Trie(terms, beginnings, frozenset(r["key"] for r in met.select("key").collect()))
 

@@ -256,7 +256,11 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without their repeated lines. A document that loses all its words is a copy of others and goes."""
+    """The documents without their repeated lines. A document that loses all its words is a copy of others and goes.
+
+    A column ``n_chars`` is counted anew.
+    """
     found = dedup(docs, doc_id, text)
     emptied = F.col("__dropped").isNotNull() & ~F.regexp_like(F.coalesce(F.col(text), F.lit("")), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"))
-    return found.where(~F.coalesce(emptied, F.lit(False))).drop("__dropped")
+    kept = found.where(~F.coalesce(emptied, F.lit(False))).drop("__dropped")
+    return kept.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept

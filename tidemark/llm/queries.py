@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, embeddings, jaccard, licenses, lines, packing, secrets, toxicity, warc, wrappers
@@ -67,4 +68,5 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+QUERIES["pipeline"] = corpus_pipeline.run
+ORACLES: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}

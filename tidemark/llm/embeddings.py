@@ -75,7 +75,9 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, shard: int = SHARD
         return pd.DataFrame([{**part[["label", "dim", "shard", "shards"]].iloc[0].to_dict(), **own}])
 
     graph_columns = "classes binary, counts binary, vectors binary, layers array<binary>, entry int, beam int"
-    graphs = stored(dealt.groupBy("label", "dim", "shard").applyInPandas(build, f"label {label}, dim int, shard long, shards long, {graph_columns}"), "graphs")
+    # Dealt anew by shard: the join before leaves all shards of a label in one task.
+    by_shard = dealt.repartition("label", "dim", "shard").groupBy("label", "dim", "shard")
+    graphs = stored(by_shard.applyInPandas(build, f"label {label}, dim int, shard long, shards long, {graph_columns}"), "graphs")
     blocks = graphs.select("label", "dim", F.col("shard").alias("block"), F.col("classes").alias("q_classes"), F.col("counts").alias("q_counts"), F.col("vectors").alias("queries"))
     # Each two shards of a label once; a row is an index and a block of queries, of bounded size.
     asked = graphs.join(blocks, ["label", "dim"]).where("block >= shard")
@@ -116,7 +118,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, shard: int = SHARD
             out.append(pd.DataFrame({"class": every[linked], "links": met[linked], "root": every[np.array(roots, np.int64)[linked]]}))
         return pd.concat(out)
 
-    met = stored(asked.groupBy("label", "dim", "shard", "block").applyInPandas(ask, "class long, links long, root long"), "vector-links")
+    met = stored(asked.repartition("label", "dim", "shard", "block").groupBy("label", "dim", "shard", "block").applyInPandas(ask, "class long, links long, root long"), "vector-links")
     links = met.groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(met.select(F.col("class").alias("a"), F.col("root").alias("b")))
     rooted = classes.select("class", "first_id", "n").join(roots, classes["class"] == roots["id"], "left").withColumn("root", F.coalesce("root", "class"))

@@ -31,7 +31,8 @@ FIT_ROWS = 20_000
 LEXICON = 20_000  # terms and beginnings at most, the most telling first
 BEGINNINGS = (4, 5, 6, 7)
 MISSPELLED_FROM = 5  # letters of a term whose misspellings count
-WINDOW = 6  # words on each side of a hit
+WINDOW = 6  # words on each side of a hit in which quote marks count
+REPORTED = 3  # words before a hit in which a reporting word counts
 CUTOFF = 0.7
 MEMORY = 300_000  # distinct words remembered by a worker; only the speed hangs on it
 WORDS = re.compile(r"[^\W_]+")
@@ -137,7 +138,7 @@ def hits(text: str, memory: Memory) -> tuple[int, int, int]:
         a, b = max(0, k - WINDOW), min(len(words), k + WINDOW + 1)
         before, after = low[places[a][0] : places[k][0]], low[places[k][1] : places[b - 1][1] + 1]
         marked = any(q in before for q in QUOTES) and any(q in after for q in QUOTES)
-        if marked or any(w in REPORTING for w in words[a:k]):
+        if marked or any(w in REPORTING for w in words[max(0, k - REPORTED) : k]):
             quoted += 1
         elif memory[words[k]] == 1:
             abusive += 1
@@ -283,8 +284,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # Words one edit from a term that harmless documents use. There are few: so many edits have the terms.
     trie = Trie(terms, beginnings, frozenset(r["key"] for r in met.select("key").collect()))
 
-    memory = Memory(trie)
-    shapes = _counted(train, lambda t, _: [",".join(map(str, bucket(hits(t, memory))))]).collect()
+    # Weighed without the harmless words just learned from these very rows: they would make misspellings look surer than they are.
+    shapes = _counted(train, lambda t, _: [",".join(map(str, bucket(hits(t, near))))]).collect()
     odds = []
     for kind in range(3):
         counts: dict[int, list[float]] = {}

@@ -159,4 +159,4 @@ def fit_score(spark, sf_dir):
     lake = Lake(spark, shared_dir(spark, "lake"))
     lake.publish(df, "silver/training_set", "2024-01-30", "r1")
     df = lake.read("silver/training_set")
-    return train(df, TrainConfig(max_iter=100)).scored.withColumn("score", F.round("score", 4))
+    return train(df, TrainConfig()).scored.withColumn("score", F.round("score", 4))

@@ -79,6 +79,18 @@ def null_profile(spark, sf_dir):
     return _rounded(profile.null_profile(_features(spark, sf_dir)), "pct_null")
 
 
+@query(
+    "null_profile_all",
+    with_tx(
+        "select column_name, n_null, n_rows, round(n_null / cast(n_rows as double) * 100, 6) as pct_null "
+        f"from ({NULL_PARTS})",
+        FEATURES_SQL,
+    ),
+)
+def null_profile_all(spark, sf_dir):
+    return _rounded(profile.null_profile(_features(spark, sf_dir), top=None), "pct_null")
+
+
 @query(
     "coverage",
     with_tx(

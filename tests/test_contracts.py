@@ -16,11 +16,6 @@ def test_namespace_does_not_swallow_base_columns(spark):
     assert c.in_namespace(df, "card_", ["card_present"]) == ["card_x"]
 
 
-def test_repeated_names():
-    assert c.duplicate_names(["a", "b", "a"]) == ["a"]
-    assert c.first_of_each(["a", "b", "a"]) == ["a", "b"]
-
-
 def test_model_inputs_by_type(spark):
     df = spark.createDataFrame([], "a int, b boolean, c string, d decimal(18,2), t timestamp")
     assert c.split_by_type(df, ["t"]) == (["a", "b", "d"], ["c"])
@@ -33,7 +28,3 @@ def test_run_ids():
     with pytest.raises(c.ContractError):
         c.clean_run_id("  ")
 
-
-def test_old_names(spark):
-    df = spark.createDataFrame([("t", "c")], "transaction_id string, card_id string")
-    assert c.rename_known(df, c.LEGACY_EVENT_NAMES).columns == ["t_id", "cc_num"]

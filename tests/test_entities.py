@@ -18,7 +18,7 @@ from tidemark.operators.entities import (
     merchant_view,
     missing_values,
 )
-from tidemark.operators.events import attach_labels, keep_present, normalize, stack
+from tidemark.operators.events import attach_labels, normalize, stack
 
 T0 = datetime(2024, 1, 1)
 VIEW = FeatureView("v", ("k",), {"x": T.FloatType(), "n": T.LongType()}, ttl_seconds=10)
@@ -86,6 +86,5 @@ def test_label_join_and_shaping(spark):
     assert out.columns == ["t_id", "label_is_fraud"] and rows(out) == [("1", 0), ("2", 1)]
     both = stack([tx, labels])
     assert both.columns == ["t_id", "explanation"] and both.count() == 5
-    assert keep_present(both, ["explanation", "zz"]).columns == ["explanation"]
     text = spark.createDataFrame([("2024-01-01T00:00:01.9Z",), ("x",)], "ts string")
     assert [r.ts_epoch for r in normalize(text).collect()] == [1704067201, None]

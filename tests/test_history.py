@@ -1,13 +1,14 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from tests.conftest import rows
 from tidemark.contracts import ContractError
 from tidemark.operators.history import Lag, Rolling, history
-from tidemark.operators.tiles import SkewPolicy
+from tidemark.operators.tiles import SkewPolicy, add_tile, measure
 
 SCHEMA = "id long, k string, s long, amount decimal(18,2), y int, tag string"
 SPECS = [
@@ -133,3 +134,21 @@ def test_light_keys_need_one_exchange_and_one_sort(spark, tmp_path):
     heavy = history(spark.read.parquet(path), ["k"], "s", ["id"], SPECS, LAGS, SkewPolicy(10, 20))
     _, plan = exchanges(heavy)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_tiles_hold_about_as_many_rows_however_uneven_the_times(spark):
+    policy = SkewPolicy(frame_rows=50, tile_rows=1000)
+    spread = spark.range(20_000).selectExpr("'a' k", "id + 1000000000 s")
+    odd_clock = spread.unionByName(spark.sql("select 'a' k, 0L s"))
+    burst = spark.range(20_000).selectExpr("'a' k", "1000000000 + cast(pow(id / 20000, 6) * 100000000 as long) s")
+    by_day = spark.range(20_000).selectExpr("'a' k", "1000000000 + (id % 40) * 86400 s")
+    for df, most in ((spread, 2000), (odd_clock, 2000), (burst, 4000), (by_day, 2000)):
+        load = measure(df, ["k"], F.col("s"), policy)
+        sizes = add_tile(df, load, F.col("s")).groupBy("__tile").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.first("__tile_start").alias("start"))
+        tiles = sizes.orderBy("__tile").collect()
+        assert sum(t.n for t in tiles) == df.count() and max(t.n for t in tiles) <= most
+        assert all(t.start <= t.lo for t in tiles) and all(a.hi < b.start for a, b in zip(tiles, tiles[1:]))
+    # One early row does not hide a dense hour.
+    dense = spark.range(400).selectExpr("'a' k", "id + 1000000000 s").unionByName(spark.sql("select 'a' k, 0L s"))
+    assert measure(dense, ["k"], F.col("s"), policy, reach=100).any_listed
+    assert not measure(dense, ["k"], F.col("s"), policy, reach=10).any_listed

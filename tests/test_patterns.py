@@ -8,6 +8,9 @@ from tidemark.operators import patterns
 from tidemark.operators.tiles import SkewPolicy
 
 TILED = SkewPolicy(0, 2)
+NETWORKS = {"US": "10.0.0.0/8", "CA": "172.16.0.0/12", "GB": "100.64.0.0/10", "FR": "198.18.0.0/15", "DE": "198.51.100.0/24"}
+BOXES = {"FR": (42.0, 51.0, -5.0, 8.0), "SE": (55.0, 69.0, 11.0, 24.0)}
+NEIGHBOURS = {"FR": ["DE"], "SE": ["DE"]}
 
 
 def events(spark, *drawn):
@@ -43,7 +46,7 @@ def test_burst_chains(spark):
 
 
 def test_networks(spark):
-    nets = spark.createDataFrame([(v, k) for k, v in patterns.COUNTRY_NETWORKS.items()], "cidr string, country string")
+    nets = spark.createDataFrame([(v, k) for k, v in NETWORKS.items()], "cidr string, country string")
     nets = nets.union(spark.createDataFrame([("10.1.0.0/16", "XX")], nets.schema))
     lengths = [8, 12, 16, 10, 15, 24]
     ips = ["10.0.0.1", "10.1.2.3", "172.31.255.255", "172.32.0.0", "100.127.0.1", "198.19.0.1", "198.51.100.7", "nope", "1.2.3.999"]
@@ -56,10 +59,10 @@ def test_networks(spark):
 
 
 def test_boxes_and_mix(spark):
-    boxes = spark.createDataFrame([(k, *v) for k, v in patterns.COUNTRY_BOXES.items()], "country string, lat_min double, lat_max double, lon_min double, lon_max double")
+    boxes = spark.createDataFrame([(k, *v) for k, v in BOXES.items()], "country string, lat_min double, lat_max double, lon_min double, lon_max double")
     df = spark.createDataFrame([("FR", 48.8, 2.3), ("SE", 48.8, 2.3), ("JP", 1.0, 1.0)], "country string, lat double, lon double")
     assert {r.country: r.in_box for r in patterns.in_country_box(df, boxes).collect()} == {"FR": True, "SE": False, "JP": None}
-    edges = spark.createDataFrame([(h, c) for h, cs in patterns.NEIGHBOUR_COUNTRIES.items() for c in cs], "home_country string, country string")
+    edges = spark.createDataFrame([(h, c) for h, cs in NEIGHBOURS.items() for c in cs], "home_country string, country string")
     tx = spark.createDataFrame([("a", c) for c in ["FR", "FR", "DE", "SE"]], "cc_num string, country string")
     homes = spark.createDataFrame([("a", "FR")], "cc_num string, home_country string")
     assert rows(patterns.travel_mix(tx, homes, edges)) == [("a", 4, 2, 1, 1)]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.contracts import TRANSACTIONS_RAW
+from tidemark.contracts import ContractError, TRANSACTIONS_RAW
 from tidemark.operators.events import run_id_of
 from tidemark.session import shared_dir
 from tidemark.sources.jsonl import read_jsonl, typed, write_jsonl
@@ -102,3 +102,17 @@ def test_days_are_written_in_one_job(spark, tmp_path):
     lake.publish_by_day(df.filter("id >= 4"), "bronze/tx", "r2")
     assert lake.read("bronze/tx", "2026-01-01").count() == 4
     assert lake.resolve("bronze/tx", "2026-01-02").endswith("run_id=r2")
+
+
+def test_listed_versions_are_not_written_over(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.publish(spark.range(3), "d", "2026-01-01", "r1")
+    with pytest.raises(ContractError, match="already"):
+        lake.publish(spark.range(4), "d", "2026-01-01", "r1")
+    days = spark.createDataFrame([(1, "2026-01-01"), (2, None)], "id int, dt string")
+    with pytest.raises(ContractError, match="without dt"):
+        lake.publish_by_day(days, "e", "r1")
+    assert lake.manifest().count() == 1
+    lake.publish_by_day(days.limit(1), "e", "r2")
+    with pytest.raises(ContractError, match="already"):
+        lake.publish_by_day(days.limit(1), "e", "r2")

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.operators.metrics import average_precision, roc_auc
 from tidemark.operators import metrics, ordered, prepare, profile
 from tidemark.operators.ordered import TilePolicy
 
@@ -85,3 +86,8 @@ def test_rates(spark):
     tx, none = spark.range(4).withColumnRenamed("id", "t_id"), spark.range(0).withColumnRenamed("id", "t_id")
     assert metrics.realised_rate(tx, tx.filter("t_id < 1")).first().realised_rate == 0.25
     assert metrics.realised_rate(none, none).first().realised_rate == 0.0
+
+
+def test_rows_without_a_label_do_not_count(spark):
+    scored = spark.createDataFrame([(0.9, 1), (0.1, 0), (0.95, None), (0.1, None)], "score double, label int")
+    assert roc_auc(scored).first()[0] == 1.0 and average_precision(scored).first()[0] == 1.0

@@ -41,3 +41,5 @@ def test_online_table_moves_forward(spark, tmp_path):
 
     assert push(("a", 1, 1), ("a", 5, 2), ("b", 3, 3)) == [("a", 2), ("b", 3)]
     assert push(("a", 4, 9), ("b", 7, 4), ("c", 1, 5)) == [("a", 2), ("b", 4), ("c", 5)]
+    checkpoint = str(tmp_path / "another")  # batch ids start anew
+    assert push(("a", 9, 7)) == [("a", 7), ("b", 4), ("c", 5)]

@@ -72,7 +72,15 @@ def test_model_learns_saves_and_ignores_unknown_categories(spark, tmp_path):
 
 def test_guards(spark):
     df = separable(spark, 50)
-    assert limit_rows(df, 7, 2).count() == 7 and limit_rows(df, None, 1).rdd.getNumPartitions() == 1
+    assert limit_rows(df, TrainConfig()) is df
+    rare = spark.range(2000).selectExpr("id as t_id", "cast(id >= 1995 as int) as label_is_fraud", "id % 7 as x")
+    few = limit_rows(rare, TrainConfig(fit_rows=100)).groupBy("label_is_fraud").count()
+    assert {r[0]: r[1] for r in few.collect()} == {0: 99, 1: 1}
+    assert limit_rows(rare, TrainConfig(fit_rows=2000)).count() == 2000
+    bound = train(rare, TrainConfig(fit_rows=100, max_iter=5))
+    assert bound.scored.count() == 400 and bound.n_fit == 100
+    tiny = prepare.hash_split(spark.range(50_000), "id", 0.4, fine=True)
+    assert 100 < tiny.filter("is_test").count() < 300
     wide = df.withColumn("who", F.col("t_id").cast("string")).withColumn("weight", F.lit(1.0))
     with pytest.raises(ContractError, match="who"):
         build_pipeline(wide, TrainConfig(max_categories=5))

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-
 _TEXT, _REAL, _FLAG, _MONEY = T.StringType(), T.DoubleType(), T.BooleanType(), T.DecimalType(18, 2)
 
 
@@ -24,18 +22,10 @@ TRANSACTIONS_RAW = _schema(
     "ts", amount=_MONEY, card_present=_FLAG, lat=_REAL, lon=_REAL,
 )
 LABELS_RAW = _schema("t_id", "cc_num", "explanation", "ts")
-BANKS = _schema("bank_id", "bank_name", "country")
 MERCHANTS = _schema("merchant_id", "merchant_name", "country", "category")
 ACCOUNTS = _schema("account_id", "bank_id", "home_country")
 CARDS = _schema("cc_num", "account_id")
 
-# The first event layout, from before the tables above existed: old name -> new name.
-LEGACY_EVENT_NAMES = {
-    "event_timestamp": "ts",
-    "transaction_id": "t_id",
-    "card_id": "cc_num",
-}
-
 
 def with_times(schema: T.StructType, columns: Iterable[str] = ("ts",)) -> T.StructType:
     """The schema after ingest: the named text columns have become timestamps."""
@@ -67,11 +57,6 @@ def present(df: DataFrame, columns: Iterable[str]) -> list[str]:
     return [c for c in columns if c in have]
 
 
-def rename_known(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Rename the columns that exist; leave the others alone."""
-    return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
-
-
 def in_namespace(df: DataFrame, namespace: str, exclude: Sequence[str] = ()) -> list[str]:
     """Columns of one feature namespace.
 
@@ -80,15 +65,6 @@ def in_namespace(df: DataFrame, namespace: str, exclude: Sequence[str] = ()) ->
     return [c for c in df.columns if c.startswith(namespace) and c not in set(exclude)]
 
 
-def duplicate_names(columns: Iterable[str]) -> list[str]:
-    return [name for name, n in Counter(columns).items() if n > 1]
-
-
-def first_of_each(columns: Iterable[str]) -> list[str]:
-    """Column names without repeats, first position wins."""
-    return list(dict.fromkeys(columns))
-
-
 def split_by_type(df: DataFrame, exclude: Iterable[str] = ()) -> tuple[list[str], list[str]]:
     """(numeric, categorical) model inputs. Booleans count as numbers, text as categories."""
     skip = set(exclude)

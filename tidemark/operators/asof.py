@@ -8,17 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.contracts import ContractError, duplicate_names, require
+from tidemark.contracts import ContractError, require
 from tidemark.functions.times import epoch_seconds
 from tidemark.operators.tiles import DEFAULT_POLICY, HELPERS, TILE, SkewPolicy, add_tile, is_heavy, measure
 
-# Rows whose key is NULL match nothing; they are spread over this many partitions instead of one.
+# Rows whose key or time is NULL match nothing; they are spread over this many partitions instead of one.
 _NULL_KEY_SPREAD = 4096
 
 
 def namespaced(columns: Sequence[str], namespace: str) -> dict[str, str]:
-    """Right column -> output name: prefixed unless it already carries the namespace."""
-    return {c: c if c.startswith(namespace) else f"{namespace}{c}" for c in columns}
+    """Right column -> output name. A name that carries the namespace keeps its form."""
+    return {name: namespace + name.removeprefix(namespace) for name in columns}
 
 
 def asof_join(
@@ -48,7 +48,8 @@ def asof_join(
     require(right, [*right_keys, right_ts, *right_id], "right side")
     carried = [c for c in right.columns if c not in {*right_keys, right_ts}]
     names = namespaced(carried, namespace)
-    clash = duplicate_names([*left.columns, *names.values(), *([matched_ts] if matched_ts else [])])
+    added = [*names.values(), *([matched_ts] if matched_ts else [])]
+    clash = sorted({c for k, c in enumerate(added) if c in left.columns or c in added[:k]})
     if clash:
         raise ContractError(f"as-of join would repeat columns {clash}; use a namespace")
 
@@ -73,8 +74,10 @@ def asof_join(
     times = epoch_seconds(F.col("__t"))
     narrow = lefts.select(*keys, "__t").unionAll(rights.select(*keys, "__t")).filter(_all_set([*keys, "__t"]))
     load = measure(narrow, keys, times, policy)
-    no_key = ~_all_set(keys)
-    spread = F.pmod(F.xxhash64("__t"), F.lit(_NULL_KEY_SPREAD))
+    # Rows without a key or a time match nothing and go round the keys' partitions, spread by all their plain columns.
+    no_key = F.col("__row").isNotNull() & ~_all_set([*keys, "__t"])
+    plain = [f"__row.{c}" for c, t in left.dtypes if not t.startswith(("map", "array", "struct"))]
+    spread = -2 - F.pmod(F.xxhash64("__t", *plain), F.lit(_NULL_KEY_SPREAD))
     if load.tiled:
         stacked = add_tile(stacked, load, times)
         stacked = stacked.unionByName(_carry(stacked, keys, ids), allowMissingColumns=True)

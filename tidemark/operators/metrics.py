@@ -13,8 +13,10 @@ def roc_auc(
 ) -> DataFrame:
     """One row ``roc_auc``: the share of (positive, negative) pairs ranked right, ties half.
 
-    Counted from running totals over the distinct scores, without forming pairs. NaN for one class.
+    Counted from running totals over the distinct scores, without forming pairs. NaN for one class. Rows
+    without a label do not count.
     """
+    scored = scored.filter(F.col(label).isNotNull())
     groups = frequencies(scored, F.col(score), pos=F.col(label).cast("long"))
     groups = groups.withColumn("neg", F.col("n") - F.col("pos"))
     placed = totals_before(groups, ["neg"], policy=policy)
@@ -27,7 +29,8 @@ def average_precision(
     scored: DataFrame, score: str = "score", label: str = "label", policy: TilePolicy = DEFAULT_TILES
 ) -> DataFrame:
     """One row ``pr_auc``: precision at each distinct score, weighted by the recall it adds (a step
-    function, not the trapezoids of ``areaUnderPR``). NaN for one class."""
+    function, not the trapezoids of ``areaUnderPR``). NaN for one class. Rows without a label do not count."""
+    scored = scored.filter(F.col(label).isNotNull())
     groups = frequencies(scored, -F.col(score).cast("double"), pos=F.col(label).cast("long"))
     placed = totals_before(groups, ["pos", "n"], policy=policy)
     precision = (F.col("pos_before") + F.col("pos")).cast("double") / (F.col("n_before") + F.col("n"))

@@ -6,7 +6,7 @@ Imputation, scaling and encoding are stages of the saved model, so scoring appli
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -19,6 +19,7 @@ from tidemark.contracts import ContractError, require, split_by_type
 from tidemark.operators.events import drop_unlabelled
 from tidemark.operators.metrics import average_precision, roc_auc, run_summary
 from tidemark.operators.prepare import (
+    bounded,
     hash_split,
     medians,
     most_frequent,
@@ -41,7 +42,8 @@ class TrainConfig:
     max_iter: int = 500
     tol: float = 1e-4
     max_categories: int = 1000
-    max_rows: int | None = None
+    # Rows used to fit at most, shared out among the classes by size; held-out rows are all scored.
+    fit_rows: int | None = None
     provenance: dict[str, str] = field(default_factory=dict, hash=False)
 
 
@@ -50,19 +52,18 @@ class TrainedModel:
     model: PipelineModel
     scored: DataFrame
     inputs: tuple[str, ...]
+    n_fit: int
 
 
-def limit_rows(df: DataFrame, max_rows: int | None, partitions: int | None = None) -> DataFrame:
-    """Optional caps for small machines: rows, then partitions (narrowing, without a shuffle)."""
-    if max_rows is not None:
-        df = df.limit(max_rows)
-    return df.coalesce(partitions) if partitions else df
+def limit_rows(df: DataFrame, cfg: TrainConfig) -> DataFrame:
+    """At most ``cfg.fit_rows`` rows to fit on: of each class its share, at least one, by the hash of the row id."""
+    return df if cfg.fit_rows is None else bounded(df, cfg.row_id, cfg.label, cfg.fit_rows, cfg.seed + 1)
 
 
 def split(df: DataFrame, cfg: TrainConfig) -> DataFrame:
     if cfg.stratified:
         return stratified_split(df, cfg.row_id, cfg.label, cfg.test_share, cfg.seed)
-    return hash_split(df, cfg.row_id, round(cfg.test_share * 100), cfg.seed)
+    return hash_split(df, cfg.row_id, 100 * cfg.test_share, cfg.seed, fine=True)
 
 
 def _quoted(name: str) -> str:
@@ -141,13 +142,15 @@ def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
 def train(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainedModel:
     """Fit on the training part; ``scored`` has (row id, label, score) of the held-out part."""
     require(df, [cfg.label, cfg.row_id], "training set")
-    known = limit_rows(drop_unlabelled(df, cfg.label), cfg.max_rows)
+    known = drop_unlabelled(df, cfg.label)
     parts = split(known.withColumn(cfg.label, F.col(cfg.label).cast("int")), cfg)
-    fit_on = with_class_weight(parts.filter(~F.col("is_test")), cfg.label)
+    fit_on = limit_rows(parts.filter(~F.col("is_test")), cfg)
+    n_fit = fit_on.count()
+    fit_on = with_class_weight(fit_on, cfg.label)
     pipeline, inputs = build_pipeline(fit_on, cfg)
     model = pipeline.fit(fit_on)
     scored = score(model, parts.filter("is_test"), cfg.row_id, F.col(cfg.label).alias("label"))
-    return TrainedModel(model, scored, inputs)
+    return TrainedModel(model, scored, inputs, n_fit)
 
 
 def run_record(df: DataFrame, trained: TrainedModel, cfg: TrainConfig, run_id: str) -> DataFrame:
@@ -156,16 +159,8 @@ def run_record(df: DataFrame, trained: TrainedModel, cfg: TrainConfig, run_id: s
     parts = [summary, roc_auc(trained.scored), average_precision(trained.scored)]
     keyed = [p.withColumn("run_id", F.lit(run_id)) for p in parts]
     row = keyed[0].join(keyed[1], "run_id").join(keyed[2], "run_id")
-    params = {
-        "label_col": cfg.label,
-        "test_size": str(cfg.test_share),
-        "random_state": str(cfg.seed),
-        "max_rows": "" if cfg.max_rows is None else str(cfg.max_rows),
-        "model_type": "logreg",
-        "class_weight": "balanced",
-        "max_iter": str(cfg.max_iter),
-        "n_features_input": str(len(trained.inputs)),
-        **cfg.provenance,
-    }
+    settings = {f.name: getattr(cfg, f.name) for f in fields(cfg) if f.name != "provenance"}
+    params = {name: str(value) for name, value in settings.items()} | {"inputs": ",".join(trained.inputs), "n_fit": str(trained.n_fit)}
+    params |= cfg.provenance
     pairs = [F.lit(x) for kv in params.items() for x in kv]
     return row.withColumn("params", F.create_map(*pairs)).withColumn("logged_at", F.current_timestamp())

@@ -132,39 +132,3 @@ def travel_mix(tx: DataFrame, homes: DataFrame, neighbours: DataFrame, by: Seque
         F.count_if(near).alias("n_neighbour"),
         F.count_if(far).alias("n_international"),
     )
-
-
-# Country boxes (lat_min, lat_max, lon_min, lon_max), networks and neighbours.
-COUNTRY_BOXES = {
-    "US": (25.0, 49.0, -124.0, -66.0),
-    "CA": (42.0, 70.0, -140.0, -52.0),
-    "MX": (14.0, 33.0, -118.0, -86.0),
-    "GB": (49.9, 58.7, -8.6, 1.8),
-    "FR": (41.0, 51.5, -5.5, 9.6),
-    "DE": (47.2, 55.1, 5.9, 15.0),
-    "ES": (36.0, 43.8, -9.3, 3.3),
-    "IT": (36.6, 47.1, 6.6, 18.5),
-    "SE": (55.0, 69.0, 11.0, 24.0),
-}
-COUNTRY_NETWORKS = {
-    "US": "10.0.0.0/8",
-    "CA": "172.16.0.0/12",
-    "MX": "192.168.0.0/16",
-    "GB": "100.64.0.0/10",
-    "FR": "198.18.0.0/15",
-    "DE": "198.51.100.0/24",
-    "ES": "203.0.113.0/24",
-    "IT": "169.254.0.0/16",
-    "SE": "240.0.0.0/8",
-}
-NEIGHBOUR_COUNTRIES = {
-    "US": ["CA", "MX"],
-    "CA": ["US"],
-    "MX": ["US"],
-    "GB": ["FR"],
-    "FR": ["GB", "DE", "ES", "IT"],
-    "DE": ["FR"],
-    "ES": ["FR"],
-    "IT": ["FR"],
-    "SE": ["DE"],
-}

@@ -19,8 +19,13 @@ def row_hash(row_id: str, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def hash_split(df: DataFrame, row_id: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
-    """Add ``is_test``: about ``test_percent`` of the rows, decided row by row (no exchange)."""
+def hash_split(df: DataFrame, row_id: str, test_percent: float = 20, seed: int = 42, fine: bool = False) -> DataFrame:
+    """Add ``is_test``: about ``test_percent`` of the rows, decided row by row (no exchange).
+
+    Whole percents by the last digits of the hash; ``fine`` shares by the whole hash.
+    """
+    if fine:
+        return df.withColumn("is_test", row_hash(row_id, seed) < F.lit(int(test_percent / 100 * 2**60)))
     return df.withColumn("is_test", (F.pmod(row_hash(row_id, seed), F.lit(100)) < test_percent))
 
 
@@ -49,6 +54,21 @@ def stratified_split(
     return hashed.withColumn("is_test", is_test).drop("__hash")
 
 
+def bounded(df: DataFrame, row_id: str, label: str, most: int, seed: int, policy: TilePolicy = DEFAULT_TILES) -> DataFrame:
+    """About ``most`` rows: of each class its share, and at least one, those of smallest hash."""
+    hashed = df.withColumn("__hash", row_hash(row_id, seed))
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(row["n"] for row in sizes)
+    if total <= most:
+        return df
+    kept = F.lit(False)
+    for row in sizes:
+        in_class = F.col(label).eqNullSafe(F.lit(row[label]))
+        cut = kth_smallest(hashed.filter(in_class), F.col("__hash"), max(1, row["n"] * most // total), policy)
+        kept = kept | (in_class & (F.col("__hash") <= cut))
+    return hashed.filter(kept).drop("__hash")
+
+
 def medians(df: DataFrame, columns: Sequence[str], policy: TilePolicy = DEFAULT_TILES) -> dict[str, float | None]:
     """Exact median per column; the mean of the two middle values when their number is even.
 

@@ -4,10 +4,11 @@ A window partitioned by key puts all rows of one key into one task. That is the
 every key fits into a task, and a dead end when one card or merchant owns a third of the table. So the
 keyed operators first *measure*: one narrow aggregate lists the keys that need care. Without such keys
 the plain one-shuffle window runs. With them, keys above ``tile_rows``, and only they, are cut into time
-tiles of about that many rows: the window is partitioned by (key, tile), and each tile is opened by one
-*carry row* that sums up everything the key did before the tile.
+tiles of about that many *rows*, however unevenly these lie in time: the cut points are quantiles of the
+key's seconds. The window is partitioned by (key, tile), and each tile is opened by one
+*carry row* that sums up everything the key did before the tile. Rows of one second stay together.
 
-Sizes: tiles number at most ``rows / tile_rows`` plus one per heavy key, and the list of keys is cut at
+Sizes: tiles number at most ``2 * rows / tile_rows`` plus one per heavy key, and the list of keys is cut at
 ``max_keys``, which bounds what is broadcast. Keys beyond the list are still computed in full, as plain
 partitions; being outside the ``max_keys`` largest, each holds at most ``rows / max_keys`` rows.
 """
@@ -15,26 +16,26 @@ partitions; being outside the ``max_keys`` largest, each holds at most ``rows /
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import require
 
 TILE = "__tile"
-_START, _WIDTH, _END = "__tile_start", "__tile_width", "__key_end"
-HELPERS = (TILE, _START, _WIDTH, _END)
+_START, _END, _CUTS = "__tile_start", "__key_end", "__tile_cuts"
+HELPERS = (TILE, _START, _END)
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """When a key counts as dense or heavy."""
 
-    frame_rows: int = 500  # rows in the longest frame above which re-adding a frame per row costs more
+    frame_rows: int = 500  # rows within the longest frame's length above which re-adding frames costs more
     tile_rows: int = 100_000  # target rows per (key, tile)
     max_keys: int = 100_000  # longest list of keys held on the driver and broadcast
     split_share: float = 0.5  # up to this share of the rows, listed keys get a plan of their own
@@ -51,6 +52,7 @@ class KeyLoad:
     policy: SkewPolicy
     table: pa.Table
     total_rows: int
+    cuts: pa.Table | None = None  # per heavy key: key columns, the first second of each tile, the last second
 
     @property
     def any_listed(self) -> bool:
@@ -80,19 +82,20 @@ def measure(
     reach: int | None = None,
 ) -> KeyLoad:
     """Count rows per key (partial aggregation over the key and time columns) and list the keys above
-    ``tile_rows``; with ``reach``, also those with over ``frame_rows`` rows per ``reach`` seconds."""
+    ``tile_rows``; with ``reach``, also those with over ``frame_rows`` rows in any ``reach`` seconds' bucket.
+    The heavy keys' cut points are measured as well."""
     require(df, keys)
-    stats = (
-        df.select(*keys, seconds.alias("__s"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("__s").alias("lo"), F.max("__s").alias("hi"))
-    )
+    timed = df.select(*keys, seconds.alias("__s"))
+    bucket = [] if reach is None else [F.floor(F.col("__s") / F.lit(reach + 1)).alias("__bucket")]
+    counts = timed.groupBy(*keys, *bucket).agg(F.count(F.lit(1)).alias("n"), F.min("__s").alias("lo"), F.max("__s").alias("hi"))
+    sizes = [F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max(F.when(F.col("lo").isNotNull(), F.col("n"))).alias("peak")]
+    stats = counts.groupBy(*keys).agg(*sizes)
     listed = F.col("n") > policy.tile_rows
     if reach is not None:
-        covered = F.least(F.lit(1.0), (reach + 1) / (F.col("hi") - F.col("lo") + 1))
-        listed = listed | (F.col("n") * covered > policy.frame_rows)
+        listed = listed | (F.col("peak") > policy.frame_rows)
     found = (
         stats.filter(listed & F.col("lo").isNotNull())
+        .drop("peak")
         .orderBy(F.col("n").desc(), *keys)
         .limit(policy.max_keys)
         .withColumn("is_total", F.lit(False))
@@ -102,7 +105,29 @@ def measure(
     table = found.unionByName(total.withColumn("is_total", F.lit(True)), allowMissingColumns=True).toArrow()
     is_total = table["is_total"]
     total_rows = pc.sum(table.filter(is_total)["n"]).as_py() or 0
-    return KeyLoad(tuple(keys), policy, table.filter(pc.invert(is_total)).drop_columns("is_total"), total_rows)
+    load = KeyLoad(tuple(keys), policy, table.filter(pc.invert(is_total)).drop_columns("is_total"), total_rows)
+    return replace(load, cuts=_cut_points(timed, load)) if load.tiled else load
+
+
+def _cut_points(timed: DataFrame, load: KeyLoad) -> pa.Table:
+    """Quantiles of the heavy keys' seconds. Keys of like size share a query, sizes going up by factors of two."""
+    heavy = load.heavy
+    tiles = [1 << max(0, -(-n // load.policy.tile_rows) - 1).bit_length() for n in heavy["n"].to_pylist()]
+    keyed: dict[tuple, list[int]] = {}
+    for count in sorted(set(tiles)):
+        mine = heavy.filter(pa.array([t == count for t in tiles]))
+        shares = [k / count for k in range(1, count)]
+        if not shares:
+            continue
+        part = split_by_load(timed, replace(load, table=mine))[0]
+        cuts = F.percentile_approx("__s", F.array(*map(F.lit, shares)), F.lit(max(10_000, 20 * count)))
+        for row in part.groupBy(*load.keys).agg(cuts.alias("cuts")).collect():
+            keyed[tuple(row[k] for k in load.keys)] = row["cuts"]
+    columns: dict[str, list] = {f"__h_{k}": heavy[k] for k in load.keys}
+    starts = []
+    for row in heavy.to_pylist():
+        starts.append(sorted({row["lo"], *(c + 1 for c in keyed.get(tuple(row[k] for k in load.keys), ()) if c < row["hi"])}))
+    return pa.table({**columns, _CUTS: pa.array(starts, pa.list_(pa.int64())), _END: heavy["hi"]})
 
 
 def split_by_load(df: DataFrame, load: KeyLoad) -> tuple[DataFrame, DataFrame]:
@@ -119,16 +144,22 @@ def _same_key(df: DataFrame, listed: DataFrame, load: KeyLoad) -> Column:
 
 def add_tile(df: DataFrame, load: KeyLoad, seconds: Column) -> DataFrame:
     """Add the tile number: 0 for light keys, -1 for heavy keys without a time."""
-    heavy = _heavy_keys(df.sparkSession, load)
+    heavy = df.sparkSession.createDataFrame(load.cuts)
     joined = df.join(F.broadcast(heavy), _same_key(df, heavy, load), "left").drop(*(f"__h_{k}" for k in load.keys))
-    tile = F.floor((seconds - F.col(_START)) / F.col(_WIDTH))
-    return joined.withColumn(
-        TILE, F.when(F.col(_WIDTH).isNull(), F.lit(0)).otherwise(F.coalesce(tile, F.lit(-1))).cast("long")
+    # The number of cuts up to this second, by halving steps.
+    most = max(len(c) for c in load.cuts[_CUTS].to_pylist())
+    steps = F.array(*(F.lit(1 << k) for k in range(most.bit_length() - 1, -1, -1)))
+    passed = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(F.col(_CUTS), at + step - 1) <= seconds, at + step).otherwise(at)
     )
+    tile = F.when(F.col(_END).isNull(), F.lit(0)).otherwise(F.when(seconds.isNull(), F.lit(-1)).otherwise(F.greatest(passed - 1, F.lit(0))))
+    placed = joined.withColumn(TILE, tile.cast("long"))
+    start = F.when(F.col(TILE) >= 0, F.get(F.col(_CUTS), F.col(TILE).cast("int")))
+    return placed.withColumn(_START, start).drop(_CUTS)
 
 
 def is_heavy() -> Column:
-    return F.col(_WIDTH).isNotNull()
+    return F.col(_END).isNotNull()
 
 
 def within_key_span(seconds: Column) -> Column:
@@ -139,14 +170,4 @@ def within_key_span(seconds: Column) -> Column:
 def tile_opening_second() -> Column:
     """A second before every row of the tile and after every row of the tiles before it, or equal to
     their last second; carry rows stand there."""
-    return F.col(_START) + F.col(TILE) * F.col(_WIDTH) - 1
-
-
-def _heavy_keys(spark: SparkSession, load: KeyLoad) -> DataFrame:
-    table = load.heavy
-    span = pc.add(pc.subtract(table["hi"], table["lo"]), 1)
-    per_tile = pc.divide(pc.multiply(pc.cast(span, pa.float64()), float(load.policy.tile_rows)), table["n"])
-    width = pc.max_element_wise(pc.cast(pc.floor(per_tile), pa.int64()), 1)
-    columns = {f"__h_{k}": table[k] for k in load.keys}
-    columns.update({_START: table["lo"], _WIDTH: width, _END: table["hi"]})
-    return spark.createDataFrame(pa.table(columns))
+    return F.col(_START) - 1

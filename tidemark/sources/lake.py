@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contracts import clean_run_id
+from tidemark.contracts import ContractError, clean_run_id
 from tidemark.sources.paths import hadoop_uri
 
 MANIFEST = T.StructType(
@@ -77,22 +77,30 @@ class Lake:
     def publish(
         self, df: DataFrame, dataset: str, dt: str, run_id: str, watermark: datetime | None = None
     ) -> str:
-        """Write one version and enter it in the manifest; returns its prefix."""
+        """Write one version and enter it in the manifest; returns its prefix.
+
+        A listed version is never written over: readers may be at it. Another run id makes another version.
+        """
         prefix = self.version_prefix(dataset, dt, run_id)
+        self._refuse_listed(F.col("prefix") == prefix)
         df.write.mode("overwrite").parquet(f"{self.root}/{prefix}")
         self._enter([(dataset, dt, clean_run_id(run_id), "run", prefix, watermark)])
         return prefix
 
     def publish_by_day(self, df: DataFrame, dataset: str, run_id: str, day: str = "dt") -> None:
         """Write all days of ``df`` in one job, a version each. The manifest rows come from the written
-        partitions and are appended by Spark, not through the driver."""
+        partitions and are appended by Spark, not through the driver. A run publishes a dataset once, so that all
+        its days are of one write; rows without a day are an error, and then no day is entered."""
         run = clean_run_id(run_id)
+        self._refuse_listed((F.col("dataset") == dataset) & (F.col("run_id") == run) & (F.col("kind") == "run"))
         target = self.dataset_path(dataset)
         # One task per day and file-size share: AQE splits the heavy days of this rebalance.
         versioned = df.withColumn("run_id", F.lit(run)).hint("rebalance", day)
         writer = versioned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(day, "run_id").parquet(target)
         days = self.read_all(dataset).filter(F.col("run_id") == run).select(F.col(day).cast("string").alias("dt"))
+        if not days.filter(F.col("dt").isNull()).isEmpty():
+            raise ContractError(f"{dataset} has rows without {day}")
         rows = days.distinct().select(
             F.lit(dataset).alias("dataset"),
             "dt",
@@ -124,6 +132,14 @@ class Lake:
         prefix = self.version_prefix(f"models/{name}", dt, run_id)
         self._enter([(f"models/{name}@{alias}", dt, clean_run_id(run_id), "alias", prefix, None)])
 
+    def _refuse_listed(self, which: Column) -> None:
+        try:
+            listed = self.manifest().filter(which & F.col("kind").isin("run", "model"))
+        except NotPublished:
+            return
+        if not listed.isEmpty():
+            raise ContractError("this version is published already; use another run id")
+
     def _enter(self, entries: list[tuple]) -> None:
         now = datetime.now(timezone.utc)
         rows = self.spark.createDataFrame([(*e, now) for e in entries], MANIFEST)

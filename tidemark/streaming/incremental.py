@@ -1,12 +1,13 @@
 """Ingest and materialization of whatever has newly landed, as Structured Streaming queries.
 
 Both use the batch operators and ``trigger(availableNow=True)``: the checkpoint knows which files are done.
-Each micro-batch writes to a folder named after its id, so that a batch repeated after a failure
-overwrites itself.
+An ingested micro-batch goes to a folder named after its id, so that a batch repeated after a failure
+overwrites itself; a materialized one makes the next version of the table.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,17 +38,18 @@ def ingest_available(
 
 
 def materialize_available(source: DataFrame, view: FeatureView, online: str, checkpoint: str) -> StreamingQuery:
-    """Move an online table forward by the new rows of a feature stream; each batch is a new version."""
-    spark, root = source.sparkSession, hadoop_uri(online)
+    """Move an online table forward by the new rows of a feature stream; each batch is a new version.
 
-    def version(batch_id: int) -> str:
-        return f"{root}/version={batch_id}"
+    Versions count on from the newest one in the folder, not from the batch id, which starts anew with a new
+    checkpoint. A batch that is repeated after a failure adds the same rows again, which changes nothing.
+    """
+    spark, root = source.sparkSession, hadoop_uri(online)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = latest(view.project(batch), view.keys, view.ts)
-        if batch_id > 0:
-            new = latest(spark.read.parquet(version(batch_id - 1)).unionByName(new), view.keys, view.ts)
-        new.write.mode("overwrite").parquet(version(batch_id))
+        new, newest = latest(view.project(batch), view.keys, view.ts), newest_version(spark, online)
+        if newest is not None:
+            new = latest(spark.read.parquet(f"{root}/version={newest}").unionByName(new), view.keys, view.ts)
+        new.write.parquet(f"{root}/version={0 if newest is None else newest + 1}")
 
     return (
         source.writeStream.foreachBatch(write)
@@ -57,8 +59,16 @@ def materialize_available(source: DataFrame, view: FeatureView, online: str, che
     )
 
 
+def newest_version(spark: SparkSession, online: str) -> int | None:
+    """The number of the newest version of a table kept by :func:`materialize_available`."""
+    try:
+        versions = spark.read.parquet(hadoop_uri(online))
+    except AnalysisException:
+        return None
+    return versions.agg(F.max("version")).first()[0]
+
+
 def online_version(spark: SparkSession, online: str) -> DataFrame:
     """The newest version of a table kept by :func:`materialize_available`."""
-    versions = spark.read.parquet(hadoop_uri(online))
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+    newest = newest_version(spark, online)
+    return spark.read.parquet(f"{hadoop_uri(online)}/version={newest}")

@@ -6,9 +6,9 @@ normalised texts have an edit similarity of at least ``SIMILAR``. With ``m`` blo
 ``BITS`` bits agree in ``m - BITS`` blocks: every choice of such blocks is a join key. How many blocks are taken
 hangs on the number of lines and decides the cost, never the result.
 
-In each key's region all lines are first compared with one pivot line. Lines linked to it are in one component and
-need no comparing among each other; the other lines of the region are compared with all that can be close to
-them. Of each connected group, the occurrence that is smallest by (doc_id, text hash, line number) stays.
+In each key's region all lines are first compared with one pivot line. Lines in the pivot's component need no
+comparing among each other; the other lines of the region are compared with all that can be close to them and
+are not in their component. Of each connected group, the occurrence that is smallest by (doc_id, text hash, line number) stays.
 
 Defined results: a null text stays null; empty lines and lines of fewer words stay; rows that agree in id and
 text are one document, and each keeps the same lines; null ids come last.
@@ -33,7 +33,7 @@ LEAST = 5
 BITS = 3
 SIMILAR = 0.8
 #: Rows of ids that may be broadcast; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 4_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -158,8 +158,8 @@ def occurrences(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return docs.select("doc_id", "text_hash", "text").mapInArrow(listed, schema)
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """hash, line of the ``wanted`` hashes."""
+def _texts(docs: DataFrame, wanted: DataFrame, lines: DataFrame, least: int) -> DataFrame:
+    """hash, text of the ``wanted`` hashes, read from the documents of their first occurrences."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,51 +168,72 @@ def _texts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
                 texts = [data[begin[k] : end[k]].tobytes().decode() for k in at]
                 yield pa.RecordBatch.from_arrays([pa.array(different), pa.array(texts, pa.string())], ["hash", "text"])
 
-    found = docs.select("text").mapInArrow(listed, "hash long, text string").join(_held(wanted), "hash", "left_semi")
+    places = lines.join(_held(wanted), "hash", "left_semi").select(F.col("first.doc_id").alias("at_id"), F.col("first.text_hash").alias("at_hash")).distinct()
+    places = stored(places, "line-places")
+    holders = docs.join(_held(places), docs["text_hash"].eqNullSafe(F.col("at_hash")) & docs["doc_id"].eqNullSafe(F.col("at_id")), "left_semi")
+    found = holders.select("text").mapInArrow(listed, "hash long, text string").join(_held(wanted), "hash", "left_semi")
     return stored(found.groupBy("hash").agg(F.min("text").alias("text")), "line-texts")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, lines: DataFrame, similarity: float, least: int) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [similar(normalised(x.as_py()), normalised(y.as_py()), least) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            keep = [similar(normalised(x.as_py()), normalised(y.as_py()), similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct(), "line-ends")
+    texts = _texts(docs, wanted, lines, least)
     left, right = texts.select(F.col("hash").alias("a"), F.col("text").alias("x")), texts.select(F.col("hash").alias("b"), F.col("text").alias("y"))
     return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "line-links")
 
 
 def links(docs: DataFrame, lines: DataFrame, least: int = LEAST, similarity: float = SIMILAR) -> DataFrame:
-    """Pairs (a, b) of line hashes that hold the groups together. ``lines``: hash, sim, one row per hash."""
+    """Pairs (a, b) of line hashes that hold the groups together. ``lines``: hash, sim, first; one row per hash.
+
+    First each line is compared with its nearest pivot, then with other pivots that are not in its component
+    yet. What is left in a region outside its pivot's component is compared with all its lines of other components.
+    """
 
     def apart(x: str, y: str) -> Column:
         return F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
 
+    def rooted(df: DataFrame, groups: DataFrame, *names: str) -> DataFrame:
+        for name in names:
+            to = groups.select(F.col("id").alias(name), F.col("root").alias(f"root_{name}"))
+            df = df.join(_held(to), name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
+        return df
+
     entries = lines.select(F.explode_outer(keys(F.col("sim"), blocks_for(lines.count()))).alias("key"), "hash", "sim")
-    several = entries.groupBy("key").agg(F.min("hash").alias("pivot"), F.max("hash").alias("other")).where("pivot <> other")
-    pivots = stored(several.select("key", "pivot"), "line-pivots")
+    # The order of the lines differs from key to key, so that a group of like lines has pivots all over.
+    mixed = F.col("hash").bitwiseXOR(F.col("key"))
+    several = entries.groupBy("key").agg(F.min(mixed).alias("low"), F.max(mixed).alias("high"), F.count("*").alias("n")).where("low <> high")
+    pivots = several.select("key", F.col("low").bitwiseXOR(F.col("key")).alias("pivot"), "n")
     hubs = lines.select(F.col("hash").alias("pivot"), F.col("sim").alias("pivot_sim"))
-    regions = stored(entries.join(_held(stored(pivots.join(hubs, "pivot"), "line-pivots")), "key").withColumn("d", apart("sim", "pivot_sim")), "line-regions")
-    spokes = stored(regions.where(f"hash <> pivot and d <= {BITS}").select(F.col("pivot").alias("a"), F.col("hash").alias("b")).distinct(), "line-pairs")
-    other = regions.join(spokes, (regions["pivot"] == spokes["a"]) & (regions["hash"] == spokes["b"]), "left_anti").where("hash <> pivot").select("key").distinct()
-    ends = spokes.select(F.col("a").alias("hash")).unionByName(spokes.select(F.col("b").alias("hash")))
-    # Lines of regions that hold more than the pivot and its near ones may be wanted as well.
-    pairs = regions.join(other, "key", "left_semi")
-    far = pairs.where(f"d > {BITS}").select("key", F.col("hash").alias("a"), F.col("sim").alias("sim_a"), F.col("d").alias("d_a"))
-    near = pairs.select("key", F.col("hash").alias("b"), F.col("sim").alias("sim_b"), F.col("d").alias("d_b"))
-    inside = (F.col("a") != F.col("b")) & (F.abs(F.col("d_a") - F.col("d_b")) <= BITS) & (apart("sim_a", "sim_b") <= BITS)
-    beyond = stored(far.join(near, "key").where(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-    ends = ends.unionByName(beyond.select(F.col("a").alias("hash"))).unionByName(beyond.select(F.col("b").alias("hash")))
-    texts = _texts(docs, stored(ends.distinct(), "line-ends"), least)
-    first = _linked(spokes.unionByName(beyond).distinct(), texts, similarity)
-    # Near lines that the pivot's text does not resemble are compared with all near ones of their region.
-    unlike = spokes.join(first, ["a", "b"], "left_anti").select(F.col("a").alias("pivot"), F.col("b").alias("hash"))
-    apart_ = regions.join(unlike, ["pivot", "hash"]).select("key", F.col("hash").alias("a"), F.col("sim").alias("sim_a"), F.col("d").alias("d_a"))
-    close = regions.where(f"d <= {BITS} and hash <> pivot").select("key", F.col("hash").alias("b"), F.col("sim").alias("sim_b"), F.col("d").alias("d_b"))
-    again = apart_.join(close, "key").where(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return first.unionByName(_linked(stored(again, "line-pairs"), texts, similarity))
+    pivots = stored(pivots.join(hubs, "pivot"), "line-pivots")
+    few = pivots.count() <= BROADCAST_ROWS
+    # With few pivots the regions are made again where they are wanted, without a shuffle; else they are written once.
+    regions = entries.join(F.broadcast(pivots) if few else pivots, "key").withColumn("d", apart("sim", "pivot_sim"))
+    regions = regions if few else stored(regions, "line-regions")
+    near = regions.where(f"hash <> pivot and d <= {BITS}").groupBy(F.col("pivot").alias("a"), F.col("hash").alias("b")).agg(F.min("d").alias("d"))
+    spokes = stored(near, "line-spokes")
+    nearest = spokes.groupBy("b").agg(F.min(F.struct("d", "a")).alias("to")).select(F.col("to.a").alias("a"), "b")
+    first = _linked(stored(nearest, "line-pairs"), docs, lines, similarity, least)
+    other = rooted(spokes.select("a", "b"), components(first), "a", "b").where("root_a <> root_b").select("a", "b")
+    second = first.unionByName(_linked(stored(other.join(nearest, ["a", "b"], "left_anti"), "line-pairs"), docs, lines, similarity, least))
+    # A region of two is settled by its pivot.
+    members = rooted(regions.where("n > 2").select("key", "pivot", "hash", "sim", "d"), components(second), "hash", "pivot")
+    out = stored(members.where("root_hash <> root_pivot").select("key", F.col("hash").alias("a"), F.col("sim").alias("sim_a"), F.col("d").alias("d_a"), F.col("root_hash").alias("root_a")), "line-outer")
+    within = members.join(_held(stored(out.select("key").distinct(), "line-keys")), "key", "left_semi")
+    within = within.select("key", F.col("hash").alias("b"), F.col("sim").alias("sim_b"), F.col("d").alias("d_b"), F.col("root_hash").alias("root_b"))
+    close = (F.col("root_a") != F.col("root_b")) & (F.abs(F.col("d_a") - F.col("d_b")) <= BITS) & (apart("sim_a", "sim_b") <= BITS)
+    rest = out.join(within, "key").where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    known = spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    third = _linked(stored(rest.join(known, ["a", "b"], "left_anti"), "line-pairs"), docs, lines, similarity, least)
+    return second.unionByName(third)
 
 
 def dropped(docs: DataFrame, least: int = LEAST, similarity: float = SIMILAR) -> DataFrame:
@@ -220,7 +241,7 @@ def dropped(docs: DataFrame, least: int = LEAST, similarity: float = SIMILAR) ->
     found = stored(occurrences(docs, least), "line-occurrences")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
     lines = stored(found.groupBy("hash").agg(F.first("sim").alias("sim"), F.min(place).alias("first"), F.count("*").alias("n")), "lines")
-    groups = components(links(docs, lines.select("hash", "sim"), least, similarity))
+    groups = components(links(docs, lines, least, similarity))
     rooted = lines.join(groups, lines["hash"] == groups["id"])
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
     fuzzy = stored(rooted.select("hash", "root").join(kept, "root").select("hash", "kept"), "line-groups")
@@ -235,7 +256,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: in
     own = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text"))
     gone = dropped(own, least, similarity).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("lines").alias("__dropped"))
     lines = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("__dropped")), F.lit(0))).first()
-    small = lines[0] + lines[1] <= BROADCAST_ROWS
+    small = lines[0] + lines[1] <= BROADCAST_ROWS // 4
     hashed = docs.withColumn("__text_hash", F.xxhash64(F.col(text)))
     joined = hashed.join(F.broadcast(gone) if small else gone, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
     kept = F.array_join(F.filter(F.transform(F.split(F.col(text), "\n", -1), _unless_dropped), lambda x: x.isNotNull()), "\n")

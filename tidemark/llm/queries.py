@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, embeddings, jaccard, licenses, lines, packing, secrets, toxicity, warc, wrappers
+from tidemark.llm import decontaminate, embeddings, jaccard, licenses, lines, oracles, packing, secrets, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,4 +69,6 @@ QUERIES: dict[str, Query] = {
     "op10_line_dedup": op10_line_dedup,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+ORACLES: dict[str, str] = dict(oracles.SQL)
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -33,7 +33,7 @@ LEAST = 5
 BITS = 3
 SIMILAR = 0.8
 #: Rows of ids that may be broadcast; more are joined by shuffle.
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -214,10 +214,8 @@ def links(docs: DataFrame, lines: DataFrame, least: int = LEAST, similarity: flo
     pivots = several.select("key", F.col("low").bitwiseXOR(F.col("key")).alias("pivot"), "n")
     hubs = lines.select(F.col("hash").alias("pivot"), F.col("sim").alias("pivot_sim"))
     pivots = stored(pivots.join(hubs, "pivot"), "line-pivots")
-    few = pivots.count() <= BROADCAST_ROWS
-    # With few pivots the regions are made again where they are wanted, without a shuffle; else they are written once.
-    regions = entries.join(F.broadcast(pivots) if few else pivots, "key").withColumn("d", apart("sim", "pivot_sim"))
-    regions = regions if few else stored(regions, "line-regions")
+    # By shuffle at every size: the pivots are about as many as the lines.
+    regions = stored(entries.join(pivots, "key").withColumn("d", apart("sim", "pivot_sim")), "line-regions")
     near = regions.where(f"hash <> pivot and d <= {BITS}").groupBy(F.col("pivot").alias("a"), F.col("hash").alias("b")).agg(F.min("d").alias("d"))
     spokes = stored(near, "line-spokes")
     nearest = spokes.groupBy("b").agg(F.min(F.struct("d", "a")).alias("to")).select(F.col("to.a").alias("a"), "b")
@@ -256,7 +254,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: in
     own = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text"))
     gone = dropped(own, least, similarity).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("lines").alias("__dropped"))
     lines = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("__dropped")), F.lit(0))).first()
-    small = lines[0] + lines[1] <= BROADCAST_ROWS // 4
+    small = lines[0] + lines[1] <= BROADCAST_ROWS
     hashed = docs.withColumn("__text_hash", F.xxhash64(F.col(text)))
     joined = hashed.join(F.broadcast(gone) if small else gone, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
     kept = F.array_join(F.filter(F.transform(F.split(F.col(text), "\n", -1), _unless_dropped), lambda x: x.isNotNull()), "\n")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fixtures.registry import query
+from fixtures.registry import ORACLES, query
 from fixtures.views import LABELS_SQL, labels, tx, tx_geo, with_tx
 from tidemark.operators.entities import latest
 from tidemark.operators.events import attach_labels
 from tidemark.operators.history import Lag, Rolling, history
+from tidemark.operators.tiles import DEFAULT_POLICY, SkewPolicy
 from tidemark.plans import silver
 
 SPANS = {"10m": 600, "1h": 3600, "1d": 86_400, "7d": 604_800, "30d": 2_592_000}
@@ -54,13 +55,27 @@ FEATURE_NAMES = ", ".join(silver.FEATURE_COLUMNS)
         + " from tx"
     ),
 )
-def roll_sum(spark, sf_dir):
+def roll_sum(spark, sf_dir, policy=DEFAULT_POLICY):
     specs = [Rolling(f"cc_sum_amt_{s}", SPANS[s], "amount") for s in CARD_SPANS]
     events = tx(spark, sf_dir).select("t_id", "cc_num", "ts_epoch", "amount")
-    out = history(events, ["cc_num"], "ts_epoch", ["t_id"], specs)
+    out = history(events, ["cc_num"], "ts_epoch", ["t_id"], specs, policy=policy)
     return out.select("t_id", *(s.name for s in specs))
 
 
+# The other plans of the same operators, over the same tables: running totals, and keys cut into tiles.
+RUNNING, TILED = SkewPolicy(frame_rows=0), SkewPolicy(frame_rows=0, tile_rows=20)
+
+
+@query("roll_sum_running", ORACLES["roll_sum"])
+def roll_sum_running(spark, sf_dir):
+    return roll_sum(spark, sf_dir, RUNNING)
+
+
+@query("roll_sum_tiled", ORACLES["roll_sum"])
+def roll_sum_tiled(spark, sf_dir):
+    return roll_sum(spark, sf_dir, TILED)
+
+
 @query("roll_count", with_tx("select t_id, " + _columns("count(*) {w} as cc_cnt_{span}", CARD_SPANS) + " from tx"))
 def roll_count(spark, sf_dir):
     specs = [Rolling(f"cc_cnt_{s}", SPANS[s]) for s in CARD_SPANS]
@@ -70,12 +85,17 @@ def roll_count(spark, sf_dir):
 
 
 @query("roll_prior", with_tx(f"select t_id, {MERCHANT_SQL} from tx"))
-def roll_prior(spark, sf_dir):
+def roll_prior(spark, sf_dir, policy=DEFAULT_POLICY):
     events = tx(spark, sf_dir).select("t_id", "merchant_id", "ts_epoch", "label_is_fraud")
-    out = history(events, ["merchant_id"], "ts_epoch", ["t_id"], silver.MERCHANT_ROLLING)
+    out = history(events, ["merchant_id"], "ts_epoch", ["t_id"], silver.MERCHANT_ROLLING, policy=policy)
     return out.select("t_id", *(s.name for s in silver.MERCHANT_ROLLING))
 
 
+@query("roll_prior_tiled", ORACLES["roll_prior"])
+def roll_prior_tiled(spark, sf_dir):
+    return roll_prior(spark, sf_dir, TILED)
+
+
 @query(
     "roll_prior_delayed",
     with_tx(
@@ -105,12 +125,17 @@ def roll_prior_delayed(spark, sf_dir):
         f"lag(card_present) {BY_CARD} as cc_prev_card_present from tx"
     ),
 )
-def lags(spark, sf_dir):
+def lags(spark, sf_dir, policy=DEFAULT_POLICY):
     events = tx_geo(spark, sf_dir).select("t_id", "cc_num", "ts_epoch", "ip_address", "card_present")
-    out = history(events, ["cc_num"], "ts_epoch", ["t_id"], lags=silver.CARD_LAGS)
+    out = history(events, ["cc_num"], "ts_epoch", ["t_id"], lags=silver.CARD_LAGS, policy=policy)
     return out.select("t_id", *(lag.name for lag in silver.CARD_LAGS))
 
 
+@query("lags_tiled", ORACLES["lags"])
+def lags_tiled(spark, sf_dir):
+    return lags(spark, sf_dir, TILED)
+
+
 @query("recency", with_tx(f"select t_id, ts_epoch - lag(ts_epoch) {BY_CARD} as cc_time_since_last_s from tx"))
 def recency(spark, sf_dir):
     events = tx(spark, sf_dir).select("t_id", "cc_num", "ts_epoch")

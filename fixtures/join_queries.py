@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fixtures.history_queries import FEATURES_SQL, card_states, merchant_states
-from fixtures.registry import query
+from fixtures.registry import ORACLES, query
 from fixtures.views import LABELS_SQL, labels, table, tx, tx_geo, with_tx
 from tidemark.operators.asof import asof_join, best_per_left_id
+from tidemark.operators.tiles import DEFAULT_POLICY, SkewPolicy
 from tidemark.operators.events import enrich, stack
 from tidemark.plans import silver, training
 
@@ -33,9 +34,14 @@ def _sides(spark, sf_dir):
         SIDES_SQL,
     ),
 )
-def asof(spark, sf_dir):
+def asof(spark, sf_dir, policy=DEFAULT_POLICY):
     left, right = _sides(spark, sf_dir)
-    return asof_join(left, right, ["cc_num"], ["cc_num"], "ts", "ts", ["buy_id"], matched_ts="buy_ts")
+    return asof_join(left, right, ["cc_num"], ["cc_num"], "ts", "ts", ["buy_id"], matched_ts="buy_ts", policy=policy)
+
+
+@query("asof_tiled", ORACLES["asof_join"])
+def asof_tiled(spark, sf_dir):
+    return asof(spark, sf_dir, SkewPolicy(frame_rows=0, tile_rows=20))
 
 
 @query(

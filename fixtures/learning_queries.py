@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fixtures.history_queries import card_states, merchant_states
-from fixtures.registry import query
+from fixtures.registry import ORACLES, query
 from fixtures.views import labels, tx, tx_geo, with_tx
 from tidemark.operators import metrics, prepare
 from tidemark.operators.model import TrainConfig, train
+from tidemark.operators.ordered import TilePolicy
 from tidemark.plans import silver, training
 from tidemark.session import shared_dir
 from tidemark.sources.lake import Lake
@@ -133,6 +134,12 @@ def roc_auc(spark, sf_dir):
     return metrics.roc_auc(_scored(spark, sf_dir)).select(F.round("roc_auc", 6).alias("roc_auc"))
 
 
+@query("roc_auc_tiled", ORACLES["roc_auc"])
+def roc_auc_tiled(spark, sf_dir):
+    policy = TilePolicy(10, 20)
+    return metrics.roc_auc(_scored(spark, sf_dir), policy=policy).select(F.round("roc_auc", 6).alias("roc_auc"))
+
+
 @query(
     "avg_precision",
     with_tx(

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from fixtures import registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -46,7 +47,7 @@ def test_query_equals_sql(spark, duck, name):
     assert in_order(df.collect(), df.columns, columns) == in_order(expected, list(relation.columns), columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"fit_score"}))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(ORACLES) - {"fit_score"}))
 def test_other_queries_run(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() >= 1
 

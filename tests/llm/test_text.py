@@ -49,6 +49,18 @@ def test_pages_without_marked_articles_lose_what_their_host_repeats(spark):
     assert wrappers.extract(frame.limit(0)).count() == 0
 
 
+def test_text_that_only_one_page_of_a_host_has_stays(spark):
+    tail = "<div>Same on all pages</div>"
+    pages = [(k, f"http://h.example/{k}", f"<body>{tail}<section><p>Text of {k}</p></section></body>") for k in range(12)]
+    pages += [(20, "http://h.example/long", f"<body>{tail}<section><p>Long</p></section><div>one</div><div>two</div><h2>Head</h2><pre>code</pre><blockquote>said</blockquote></body>")] * 2
+    pages += [(30 + k, "http://h.example/few", f"<body>{tail}<section><p>Few {k}</p></section><table><td>On four pages</td></table></body>") for k in range(4)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(5)
+    found = {r["page_id"]: r["text"] for r in wrappers.extract(frame).collect()}
+    assert found[20] == "Long\n\none\n\ntwo\n\nHead\n\ncode\n\nsaid"
+    assert all(found[k] == f"Text of {k}" for k in range(12))
+    assert all(found[30 + k] == f"Few {k}\n\nOn four pages" for k in range(4))
+
+
 def test_html_text_on_the_tables(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in queries.QUERIES["op6_html_text"](spark, SF).collect():

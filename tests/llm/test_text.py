@@ -1,6 +1,7 @@
 """HTML extraction, toxicity and the pipeline."""
 
 import html
+import math
 import random
 import re
 import zlib
@@ -123,6 +124,26 @@ def test_toxicity_learns_from_its_own_folds_only(spark, n):
     assert {r["score"] for r in toxicity.report(frame, known.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_of_a_sample_keeps_the_share_of_the_corpus(spark):
+    rng = random.Random(6)
+    docs, labels = [], []
+    for doc in range(1800):
+        toxic = doc % 10 == 0
+        words = [f"word{rng.randrange(60)}" for _ in range(20)]
+        if toxic:
+            words[3], words[9], words[12] = "scumbag", "worthless", "grumpy"
+        elif doc % 10 == 1:
+            words[7] = "grumpy"  # as often harmless as toxic, 9 times as often toxic in equal samples
+        docs.append((doc, " ".join(words)))
+        labels.append((doc, int(toxic)))
+    frame, known = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    used = [t for doc, t in labels if zlib.crc32(str(doc).encode()) % 3 != 1]
+    whole, part = (toxicity.fit(frame, known, fit_rows=n) for n in (20_000, 90))
+    for model in (whole, part):
+        assert abs(model.prior - math.log(sum(used) / (len(used) - sum(used)))) < 1e-9
+        assert model.trie.terms | model.trie.beginnings and not any("grumpy".startswith(t) for t in model.trie.terms | model.trie.beginnings)
+
+
 def test_toxicity_on_the_held_out_rows(spark):
     sf = SF.replace("0.001", "0.1")
     labels = spark.read.parquet(f"{sf}/labels.parquet")

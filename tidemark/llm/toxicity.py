@@ -6,8 +6,10 @@ beginning match is a hit; an automaton of edit distance 1 over the trie finds mi
 of words around each hit tells quotation (quote marks, reporting words) from abuse. Counts of abusive,
 quoted and misspelled hits are weighed by log odds learned from the same rows.
 
-``FIT_ROWS`` labelled rows of each class at most are used to fit, chosen by a hash of their id; all rows
-are scored, whole texts, with the same weights. Labels, language, source and id are never inputs of a score.
+``FIT_ROWS`` labelled rows of each class at most are used to fit, chosen by a hash of their id. Both classes are
+counted over all labelled rows: a class that was cut has more weight per row, so that the prior and the share that
+a term must have are those of the corpus at every size. All rows are scored, whole texts, with the same weights.
+Labels, language, source and id are never inputs of a score.
 
 Defined results: a null text is empty; an empty text has no hits and gets the score of such texts;
 without labelled rows of both classes every score is 0; repeated rows each keep their row.
@@ -258,6 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Learn from the labelled documents that are not held out."""
     known = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and label_id is not null")
     known = known.where(~folded(F.col("label_id"))).distinct()
+    labelled = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = F.xxhash64("label_id")
     some = [known.where(F.col("toxic") == t).orderBy(order, "label_id").limit(fit_rows) for t in (0, 1)]
     # At most 2 * fit_rows ids: they are broadcast.
@@ -266,6 +269,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model(Trie(frozenset(), frozenset()), 0.0, ())
+    # Labelled rows that a row of the sample stands for.
+    weight = [max(1.0, labelled[t] / fit_rows) for t in (0, 1)]
+    # The test against chance is about the rows drawn, so it takes the share among them; how much more of a class was drawn does not
+    # make a term look toxic there, since it moves the term's share and the base alike.
     base = sizes[1] / (sizes[0] + sizes[1])
     least = max(2, math.ceil(math.log(10) / -math.log(base)))
     bad = _counted(train.where("toxic = 1"), lambda t, _: features(t)).select("key", "bad")
@@ -276,7 +283,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # Tested against the number of candidates, so that about one in ten runs keeps a word by chance.
     needed = 2 * math.log(10 * max(1, len(candidates)))
     scored = sorted(((_surprise(n, good.get(k, 0), base), k) for k, n in candidates.items()), key=lambda x: (-x[0], x[1]))
-    telling = {k: candidates[k] for s, k in scored if s >= needed and candidates[k] >= 4 * good.get(k, 0)}
+    telling = {k: candidates[k] for s, k in scored if s >= needed and candidates[k] * weight[1] >= 4 * good.get(k, 0) * weight[0]}
     terms, beginnings = most_general(dict(list(telling.items())[:LEXICON]))
     terms, beginnings = explaining(train.where("toxic = 1"), terms, beginnings, lambda key, bad: _surprise(bad, good.get(key, 0), base) >= needed)
     near = Memory(Trie(terms, beginnings))
@@ -296,7 +303,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         odds.append({b: math.log(p[1] / (sizes[1] + 0.5)) - math.log(p[0] / (sizes[0] + 0.5)) for b, p in counts.items()})
         for b in range(1, 4):  # a bucket that never came up is as telling as the one below
             odds[kind].setdefault(b, odds[kind].get(b - 1, 0.0) if b > 1 else 0.0)
-    return Model(trie, math.log(base / (1 - base)), tuple(odds))
+    return Model(trie, math.log(sizes[1] * weight[1] / (sizes[0] * weight[0])), tuple(odds))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

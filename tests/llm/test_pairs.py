@@ -156,6 +156,19 @@ def test_line_dedup(spark):
     assert lines.report(frame.limit(0)).count() == 0
 
 
+def test_line_dedup_in_scripts_without_spaces(spark):
+    rng = random.Random(9)
+    scripts = [range(0x4E00, 0x9F00), range(0x3041, 0x3097), range(0x0E01, 0x0E2F), range(0x1000, 0x1020), range(0x1780, 0x17A0), range(0x20000, 0x20100)]
+    repeated = ["".join(chr(rng.choice(s)) for _ in range(20)) + "。" for s in scripts]
+    long = "".join(chr(rng.choice(scripts[0])) for _ in range(900))
+    short, hangul = repeated[0][:19], "가나다라마바사아자차카타파하가나다라마바사아 가나"
+    docs = [(1, "\n".join([*repeated, long, short, hangul])), (2, "\n".join(["새", *reversed(repeated), short, hangul])), (3, f"{long[:-1]}一\n{repeated[1][:-2]}ゟゟ。")]
+    found = {r["doc_id"]: r["dropped"] for r in lines.report(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert found == {1: "", 2: ",".join(str(k + 1) for k in range(len(scripts))), 3: "0"}
+    names = [lines.normalised(x) for x in (*repeated, long)]
+    assert lines._sim_of_pairs(names).tolist() == [int(lines._sim_of_pairs([n])[0]) for n in names]
+
+
 def test_line_dedup_by_shuffles(spark, monkeypatch):
     monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
     docs = line_docs(seed=2)[:80]

@@ -1,7 +1,8 @@
 """Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group.
 
 A line is normalised to its lower-cased words (letters, digits). Lines of at least ``LEAST`` words take
-part. Two different lines are linked if their 64-bit SimHashes differ in at most ``BITS`` bits and their
+part, and lines with at least ``UNSPACED`` letters of scripts that set no spaces between words (Chinese, Japanese,
+Thai, Lao, Tibetan, Burmese, Khmer); these have pairs of letters as features of their SimHash, the others words. Two different lines are linked if their 64-bit SimHashes differ in at most ``BITS`` bits and their
 normalised texts have an edit similarity of at least ``SIMILAR``. With ``m`` blocks, hashes that differ in
 ``BITS`` bits agree in ``m - BITS`` blocks: every choice of such blocks is a join key. How many blocks are taken
 hangs on the number of lines and decides the cost, never the result.
@@ -10,7 +11,7 @@ In each key's region all lines are first compared with one pivot line. Lines in
 comparing among each other; the other lines of the region are compared with all that can be close to them and
 are not in their component. Of each connected group, the occurrence that is smallest by (doc_id, text hash, line number) stays.
 
-Defined results: a null text stays null; empty lines and lines of fewer words stay; rows that agree in id and
+Defined results: a null text stays null; empty lines and lines that do not take part stay, exact repeats of them too; rows that agree in id and
 text are one document, and each keeps the same lines; null ids come last.
 """
 
@@ -30,6 +31,7 @@ from tidemark.llm.store import stored
 from tidemark.llm.tokens import Words, mix, pieces
 
 LEAST = 5
+UNSPACED = 20
 BITS = 3
 SIMILAR = 0.8
 #: Rows of ids that may be broadcast; more are joined by shuffle.
@@ -52,13 +54,37 @@ def _line_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return np.append(starts, len(data)), first
 
 
+def _unspaced(data: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """For each line, the number of its letters of scripts that set no spaces between words."""
+    at = np.flatnonzero(data >= 0xE0)
+    first, second = data[at], data[np.minimum(at + 1, max(0, len(data) - 1))]
+    han = (first >= 0xE4) & (first <= 0xE9) | (first == 0xE3) & (second >= 0x81) | (first == 0xEF) & (second >= 0xA4) & (second <= 0xAB) | (first == 0xF0) & (second >= 0xA0)
+    other = (first == 0xE0) & (second >= 0xB8) | (first == 0xE1) & ((second <= 0x82) | (second == 0x9E) | (second == 0x9F))
+    return np.diff(np.searchsorted(at[han | other], lines))
+
+
+def _sim(h: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """SimHashes of runs of feature hashes."""
+    ones = np.add.reduceat(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1), starts, axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > size[:, None], axis=1).reshape(-1).view(np.uint64)
+
+
+def _sim_of_pairs(texts: list[str]) -> np.ndarray:
+    """SimHashes of normalised lines of two letters or more by their pairs of letters."""
+    letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.array([len(t) for t in texts])
+    pairs = np.delete(mix(letters[:-1] * _STEP + letters[1:]), np.cumsum(size)[:-1] - 1)
+    return _sim(pairs, np.concatenate([[0], np.cumsum(size - 1)[:-1]]), size - 1)
+
+
 def hashed_lines(texts: pa.Array, least: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of some texts each: (text index, line number, hash, SimHash, first byte, last byte, data) of lines with ``least`` words."""
+    """Of some texts each: (text index, line number, hash, SimHash, first byte, last byte, data) of lines with ``least`` words or ``UNSPACED`` letters."""
     for at, data, bounds in pieces(texts):
         lines, first_line = _line_bounds(data, bounds)
         words = Words(data, lines, "alnum")
         count = np.diff(words.first)
-        long = np.flatnonzero(count >= max(1, least))
+        unspaced = _unspaced(data, lines) >= UNSPACED
+        long = np.flatnonzero((count >= max(1, least)) | unspaced)
         if not len(long):
             continue
         begin, size = words.first[:-1][long], count[long]
@@ -71,8 +97,9 @@ def hashed_lines(texts: pa.Array, least: int) -> Iterator[tuple[np.ndarray, ...]
         powers[0] = np.uint64(1)
         powers = np.multiply.accumulate(powers)
         whole = mix(np.add.reduceat(h * powers[place], starts) + size.astype(np.uint64))
-        ones = np.add.reduceat(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1), starts, axis=0, dtype=np.int32)
-        sim = np.packbits(2 * ones > size[:, None], axis=1).reshape(-1).view(np.uint64)
+        sim = _sim(h, starts, size)
+        if (by_pairs := np.flatnonzero(unspaced[long])).size:
+            sim[by_pairs] = _sim_of_pairs([normalised(data[lines[k] : lines[k + 1]].tobytes().decode()) for k in long[by_pairs]])
         doc = np.searchsorted(first_line, long, "right") - 1
         yield at + doc, long - first_line[doc], whole.view(np.int64), sim.view(np.int64), lines[long], lines[long + 1], data
 

@@ -33,4 +33,50 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bi
 from d left join covered using (rn) left join items using (rn)
 """
 
-SQL = {"op3_warc": WARC, "op7_decontaminate": DECONTAMINATE}
+TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+SEARCH = f"""
+with d as (select row_number() over () as rn, doc_id, {TERMS} as ws from documents),
+total as (select count(*) as docs, sum(len(ws)) as tokens from d where len(ws) > 0),
+q as (select row_number() over () as item, item_id, unnest(list_distinct({TERMS})) as term from (select distinct item_id, text from benchmark)),
+tf as (select rn, doc_id, n, term, count(*) as tf from (select rn, doc_id, len(ws) as n, unnest(ws) as term from d)
+  where term in (select term from q) group by all),
+weight as (select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double) / (2 * count(*) + 1))) as bigint) as w from tf, total group by term),
+impact as (select rn, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // tokens))) as impact from tf join weight using (term), total),
+scored as (select item, item_id, rn, doc_id, cast(sum(impact) as bigint) as score from q join impact using (term) group by all having sum(impact) > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (select *, row_number() over (partition by item order by score desc, doc_id) as rank from scored) where rank <= 50
+"""
+
+
+def _codebook_rounds(rounds: int) -> str:
+    """``rounds`` times: assign all parts (a0, a1, ...) and move the entries (c1, c2, ...)."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} as materialized (select rn, part, any_value(v) as v, arg_min(entry, (d, entry)) as entry, min(d) as d from (
+  select rn, p.part, p.v, entry, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d
+  from p join c{k} c on c.part = p.part) group by rn, part)""")
+        if k < rounds:
+            steps.append(f"""
+s{k} as (select part, entry, i, cast(sum(v[i]) as bigint) as s, count(*) as n from a{k}, (select unnest(range(1, w + 1)) as i from width) group by part, entry, i),
+n{k} as (select part, entry, list((s - ((s % n) + n) % n) // n order by i) as v from s{k} group by part, entry),
+c{k + 1} as materialized (select part, entry, coalesce(n{k}.v, c{k}.v) as v from c{k} left join n{k} using (part, entry))""")
+    return ",".join(steps)
+
+
+CODES = f"""
+with k as materialized (select row_number() over (order by vec_id, embedding) as rn, vec_id, label,
+    list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+width as (select len(v) // 8 as w from k where rn = 1),
+p as materialized (select rn, part, v[part * w + 1 : part * w + w] as v from k, width, (select unnest(range(8)) as part)),
+c0 as materialized (select part, rn - 1 as entry, v from p where rn <= 16),
+{_codebook_rounds(6)},
+coded as (select rn, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(d) as bigint) as error from a6 group by rn),
+books as (select sha256(string_agg(array_to_string(v, ','), ',' order by part, entry)) as codebooks_sha256 from c6)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from k join coded using (rn), books
+"""
+
+SQL = {"op3_warc": WARC, "op7_decontaminate": DECONTAMINATE, "op11_vector_codes": CODES, "op12_lexical_search": SEARCH}

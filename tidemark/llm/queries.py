@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, embeddings, jaccard, licenses, lines, oracles, packing, secrets, toxicity, warc, wrappers
+from tidemark.llm import codes, decontaminate, embeddings, jaccard, licenses, lines, oracles, packing, search, secrets, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
@@ -67,6 +75,8 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_lexical_search": op12_lexical_search,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = dict(oracles.SQL)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import codes, decontaminate, embeddings, jaccard, licenses, lines, oracles, packing, search, secrets, toxicity, warc, wrappers
+from tidemark.llm import codes, decontaminate, embeddings, jaccard, licenses, lines, mixing, oracles, packing, search, secrets, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(_table(spark, sf_dir, "documents")).report()
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_vector_codes": op11_vector_codes,
     "op12_lexical_search": op12_lexical_search,
+    "op13_source_mix": op13_source_mix,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = dict(oracles.SQL)

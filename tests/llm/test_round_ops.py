@@ -125,10 +125,8 @@ def test_search_edges(spark):
 def test_pair_bounds_skip_more_than_single_ones():
     """Two terms that never meet: their pair is bounded by one of them, and the query's other documents are never scored."""
     terms = {0: ([0, 1], [5, 6]), 1: ([2, 3], [6, 5]), 2: ([4, 5], [9, 10])}
-    row = {"doc_ids": list(range(6)), "lists": list(terms), "most": [max(i) for _, i in terms.values()], "ends": [2, 4, 6]}
-    row["places"] = b"".join(np.array(p, np.int32).tobytes() for p, _ in terms.values())
-    row["impacts"] = b"".join(np.array(i, np.int64).tobytes() for _, i in terms.values())
-    shard = search.Shard(row, 3)
+    lists = [(k, max(i), np.array(p, np.int32).tobytes(), np.array(i, np.int64).tobytes()) for k, (p, i) in terms.items()]
+    shard = search.Shard([*lists, (-1, 0, np.arange(6).tobytes(), b"")], 3)
     assert shard._bound((0, 1, 0)) == 6
     added = []
     shard._look_up = lambda unit, wanted, score: added.append((unit, wanted.tolist()))

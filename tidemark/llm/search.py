@@ -38,8 +38,8 @@ TOP = 50
 #: Bytes of query texts that are answered in one go, about; more queries take more goes.
 BLOCK = 4 << 20
 #: Documents of a shard, and postings after which a shard ends earlier.
-SHARD = 8192
-POSTINGS = 2_000_000
+SHARD = 4096
+POSTINGS = 500_000
 #: One shard of so many is answered first.
 FIRST = 32
 # The ASCII characters of a term; all others from U+0080 on are part of one.
@@ -132,10 +132,10 @@ def _kth(values: np.ndarray, top: int) -> int:
 
 
 def index(vectors: DataFrame, plan: Plan, top: int = TOP, shard: int = SHARD) -> DataFrame:
-    """One row per shard. Lists 0 to terms - 1 are terms, the ones after that are pairs.
+    """One row per shard and list. Lists 0 to terms - 1 are terms, the ones after that are pairs.
 
-    lists, most, kth: number, largest and top-th largest impact of each list; ends, places, impacts: the postings of all lists
-    one after another; doc_ids: by place, in ascending order, so that places order ties.
+    most, kth: largest and top-th largest impact of the list; places, impacts: its postings. List -1 holds the shard's document
+    ids by place, in ascending order, so that places order ties; nulls stand at the end and ``most`` is their number.
     """
     weights, pairs = plan.weights, plan.pairs
 
@@ -163,12 +163,12 @@ def index(vectors: DataFrame, plan: Plan, top: int = TOP, shard: int = SHARD) ->
                 if both.any():
                     numbers.append(len(weights) + k)
                     parts.append((place[few][both], impact[few][both] + impact[many][at[both]]))
+        ids = table["doc_id"].combine_chunks()
         out = {
-            "shard": pa.array([name]), "lists": pa.array([numbers], pa.list_(pa.int32())),
-            "most": pa.array([[int(i.max()) for _, i in parts]], pa.list_(pa.int64())), "kth": pa.array([[_kth(i, top) for _, i in parts]], pa.list_(pa.int64())),
-            "ends": pa.array([np.cumsum([len(p) for p, _ in parts]).tolist()], pa.list_(pa.int64())),
-            "places": pa.array([b"".join(p.tobytes() for p, _ in parts)]), "impacts": pa.array([b"".join(i.tobytes() for _, i in parts)]),
-            "doc_ids": pa.array([table["doc_id"].to_pylist()], pa.list_(pa.int64())),
+            "shard": pa.array([name] * (len(parts) + 1)), "list": pa.array([-1, *numbers], pa.int32()),
+            "most": pa.array([ids.null_count, *(int(i.max()) for _, i in parts)], pa.int64()), "kth": pa.array([0, *(_kth(i, top) for _, i in parts)], pa.int64()),
+            "places": pa.array([np.asarray(ids.fill_null(0), np.int64).tobytes(), *(p.tobytes() for p, _ in parts)], pa.binary()),
+            "impacts": pa.array([b"", *(i.tobytes() for _, i in parts)], pa.binary()),
         }
         return pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
@@ -185,19 +185,19 @@ def index(vectors: DataFrame, plan: Plan, top: int = TOP, shard: int = SHARD) ->
         if part:
             yield lists_of(part, f"{task}-{number}")
 
-    columns = "shard string, lists array<int>, most array<long>, kth array<long>, ends array<long>, places binary, impacts binary, doc_ids array<long>"
+    columns = "shard string, list int, most long, kth long, places binary, impacts binary"
     return vectors.where(F.size("terms") > 0).mapInArrow(build, columns)
 
 
 class Shard:
-    """One row of the index, to answer queries from."""
+    """The rows of one shard, to answer queries from."""
 
-    def __init__(self, row: dict, terms: int):
-        self.doc_ids, self.terms = row["doc_ids"], terms
-        places, impacts = np.frombuffer(row["places"], np.int32), np.frombuffer(row["impacts"], np.int64)
-        ends = [0, *row["ends"]]
-        self.lists = {k: (places[a:b], impacts[a:b]) for k, a, b in zip(row["lists"], ends, ends[1:], strict=False)}
-        self.most = dict(zip(row["lists"], row["most"], strict=True))
+    def __init__(self, rows: list[tuple[int, int, bytes, bytes]], terms: int):
+        self.terms = terms
+        self.lists = {k: (np.frombuffer(places, np.int32), np.frombuffer(impacts, np.int64)) for k, _, places, impacts in rows if k >= 0}
+        self.most = {k: most for k, most, _, _ in rows if k >= 0}
+        nulls, ids = next((most, np.frombuffer(places, np.int64).tolist()) for k, most, places, _ in rows if k == -1)
+        self.doc_ids = [*ids[: len(ids) - nulls], *[None] * nulls]
 
     def _bound(self, unit: tuple[int, ...]) -> int:
         """The most that a pair (term, term, pair) or a term alone can add to a score."""
@@ -256,19 +256,19 @@ class Shard:
 def answer(shards: DataFrame, block: Block, plan: Plan, thresholds: list[int], top: int, id_type) -> DataFrame:
     """item (number in the block), item_id, doc_id, score: the best documents of each shard."""
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                shard = Shard({c: batch.column(c)[k].as_py() for c in batch.schema.names}, len(plan.weights))
-                out: dict[str, list] = {"item": [], "doc_id": [], "score": []}
-                for q, (pairs, single) in enumerate(plan.queries):
-                    places, scores = shard.best(pairs, single, thresholds[q], top)
-                    out["item"] += [q] * len(places)
-                    out["doc_id"] += [shard.doc_ids[p] for p in places]
-                    out["score"] += scores.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out.values()], list(out))
-
-    found = shards.drop("kth").mapInArrow(ask, "item long, doc_id long, score long")
+    def ask(part: pa.Table) -> pa.Table:
+        rows = list(zip(*(part[c].to_pylist() for c in ("list", "most", "places", "impacts")), strict=True))
+        shard = Shard(rows, len(plan.weights))
+        out: dict[str, list] = {"item": [], "doc_id": [], "score": []}
+        for q, (pairs, single) in enumerate(plan.queries):
+            places, scores = shard.best(pairs, single, thresholds[q], top)
+            out["item"] += [q] * len(places)
+            out["doc_id"] += [shard.doc_ids[p] for p in places]
+            out["score"] += scores.tolist()
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
+
+    # A shard's lists are small rows that are read in small batches, and a shard is a group of bounded size.
+    found = shards.drop("kth").groupBy("shard").applyInArrow(ask, "item long, doc_id long, score long")
     names = shards.sparkSession.createDataFrame(list(enumerate(block.ids)), f"item long, item_id {id_type}")
     return found.join(F.broadcast(names), "item")
 
@@ -295,8 +295,8 @@ def search(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
         frequency = dict(vectors.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator())
         plan = Plan.of(queries, documents, tokens, frequency)
         shards = stored(index(vectors, plan, top, shard), "search-index")
-        listed = shards.select(F.explode(F.arrays_zip("lists", "kth")).alias("x")).groupBy("x.lists").agg(F.max("x.kth").alias("kth"))
-        kth = dict(listed.toLocalIterator())
+        # As many rows as the block has terms and pairs.
+        kth = dict(shards.groupBy("list").agg(F.max("kth").alias("kth")).toLocalIterator())
         thresholds = [max((kth.get(k, 0) for a, b, p in pairs for k in (a, b, len(plan.weights) + p)), default=0) for pairs, _ in plan.queries]
         thresholds = [max([t, *(kth.get(x, 0) for x in single)]) for t, (_, single) in zip(thresholds, plan.queries, strict=True)]
         early = F.pmod(F.xxhash64("shard"), F.lit(FIRST)) == 0

@@ -228,6 +228,8 @@ class Mix:
         counts = running(counts.withColumn("bucket", F.floor(F.col("shard") / _root(shard_count))), ["rank"], [F.col("shard")], "n", "base")
         in_shard = Window.partitionBy("shard").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("from", F.coalesce(F.sum("n").over(in_shard), F.lit(0))).join(self._chances.select("rank", "blocks"), "rank")
+        # A row becomes up to a shard of slots: dealt out before that, about 200,000 slots to a task.
+        counts = counts.repartition(-(-self._count // 200_000), "shard")
         one = counts.select("shard", "rank", "blocks", "base", "from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("i"))
         place = _permutation(self.seed)
         number, turn = F.col("base") + F.col("i"), F.expr("(base + i) div blocks")

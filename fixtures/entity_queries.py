@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from fixtures.history_queries import FEATURES_SQL, card_states, merchant_states
 from fixtures.registry import query
@@ -17,6 +18,9 @@ from tidemark.operators.entities import (
     missing_values,
 )
 from tidemark.plans import silver
+from tidemark.plans.online import OnlineTable
+from tidemark.session import shared_dir
+from tidemark.sources.lake import Lake
 
 START, MIDDLE, END = "2024-01-05 00:00:00", "2024-01-12 00:00:00", "2024-01-20 23:59:59"
 AS_OF = "2024-01-31 00:00:00"
@@ -57,6 +61,19 @@ def materialize_incr(spark, sf_dir):
     return materialize_increment(online, states, CARD, ntz(MIDDLE), ntz(END), ["t_id"])
 
 
+@query("materialize_job", WINDOW_SQL)
+def materialize_job(spark, sf_dir):
+    """Two stored runs over published states: the second reads the watermark and rewrites the buckets with new keys."""
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    lake.publish(_card_states(spark, sf_dir), "silver/card_states", "2024-01-20", "r1")
+    states = lake.read("silver/card_states")
+    table = OnlineTable(lake, CARD, ("t_id",), buckets=64)
+    first, middle, end = (datetime.fromisoformat(t).replace(tzinfo=timezone.utc) for t in (START, MIDDLE, END))
+    table.advance(states, middle, "r1", first)
+    table.advance(states, end, "r2")
+    return table.read()
+
+
 LOOKUP_SQL = """
 card as (select * from (select *, row_number() over (partition by cc_num order by ts desc, t_id desc) as rn from feat)
          where rn = 1 and ts >= timestamp '2024-01-31 00:00:00' - interval 1 day),

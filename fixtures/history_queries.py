@@ -11,6 +11,8 @@ from tidemark.operators.events import attach_labels
 from tidemark.operators.history import Lag, Rolling, history
 from tidemark.operators.tiles import DEFAULT_POLICY, SkewPolicy
 from tidemark.plans import silver
+from tidemark.session import shared_dir
+from tidemark.sources.lake import Lake
 
 SPANS = {"10m": 600, "1h": 3600, "1d": 86_400, "7d": 604_800, "30d": 2_592_000}
 
@@ -204,3 +206,18 @@ def latest_order(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     newest = latest(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
     return newest.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+
+
+@query("silver_by_day", with_tx(f"select {FEATURE_NAMES} from feat", FEATURES_SQL))
+def silver_by_day(spark, sf_dir):
+    """A first load of many days, a single day and the rest as runs of their own, each on the state before it."""
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    dated = F.when(day <= "2024-01-20", "2024-01-20").when(day == "2024-01-21", day).otherwise("2024-12-31")
+    events = tx_geo(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    lake.publish_by_day(events.drop("label_is_fraud").withColumn("dt", dated), "bronze/transactions", "r1")
+    when = events.select("t_id", dated.alias("dt"))
+    lake.publish_by_day(labels(spark, sf_dir).join(when, "t_id"), "bronze/fraud_labels", "r1")
+    for dt in ("2024-01-20", "2024-01-21", "2024-12-31"):
+        silver.build(lake, dt, "r1")
+    return lake.read_all("silver/tx_features").select(*silver.FEATURE_COLUMNS).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -58,9 +58,12 @@ def history(
     lags: Sequence[Lag] = (),
     policy: SkewPolicy = DEFAULT_POLICY,
     load: KeyLoad | None = None,
+    seen: str | None = None,
 ) -> DataFrame:
     """Add the asked-for columns to every row of ``df``.
 
+    ``seen`` names a boolean column: rows where it is not true add to the sums, but are no event for the lags.
+
     ``seconds`` is the epoch-second column, ``order_id`` breaks ties between events of one second for
     the lags. Summed columns must be integral or decimal: both plans below then give the same exact
     result. Decimal sums come back as double.
@@ -73,7 +76,7 @@ def history(
     ``policy.tile_rows`` are cut into time tiles on top (see :mod:`tidemark.operators.tiles`).
     """
     require(df, [*keys, seconds, *order_id, *(r.value for r in rolling if r.value)])
-    plan = _Plan(df.columns, df.schema, tuple(keys), seconds, tuple(order_id), tuple(rolling), tuple(lags))
+    plan = _Plan(df.columns, df.schema, tuple(keys), seconds, tuple(order_id), tuple(rolling), tuple(lags), seen)
     load = load or measure(df, keys, F.col(seconds), policy, plan.reach)
     if not load.any_listed:
         return plan.sliding(df)
@@ -84,9 +87,9 @@ def history(
 
 
 class _Plan:
-    def __init__(self, columns, schema, keys, seconds, order_id, rolling, lags):
+    def __init__(self, columns, schema, keys, seconds, order_id, rolling, lags, seen=None):
         self.columns, self.keys, self.seconds, self.order_id = columns, keys, seconds, order_id
-        self.rolling, self.lags = rolling, lags
+        self.rolling, self.lags, self.seen = rolling, lags, seen
         self.types = {f.name: f.dataType for f in schema}
         self.values = list(dict.fromkeys(r.value for r in rolling))
         self.reach = max((r.seconds for r in rolling if r.seconds is not None), default=None)
@@ -123,9 +126,14 @@ class _Plan:
         by_time = Window.partitionBy(*self.keys).orderBy(self.seconds)
         by_row = Window.partitionBy(*self.keys).orderBy(self.seconds, *self.order_id)
         # Lags first: the finer sort order they need also serves the range frames.
-        out = df.withColumns(
-            {lag.name: F.lag(lag.column or self.seconds, 1).over(by_row) for lag in self.lags}
-        )
+        if self.seen is None or not self.lags:
+            previous = {lag.name: F.lag(lag.column or self.seconds, 1).over(by_row) for lag in self.lags}
+            out = df.withColumns(previous)
+        else:
+            fields = F.struct(*(F.col(lag.column or self.seconds).alias(f"l{i}") for i, lag in enumerate(self.lags)))
+            earlier_rows = by_row.rowsBetween(Window.unboundedPreceding, -1)
+            out = df.withColumn("__prev", F.last(F.when(F.col(self.seen), fields), ignorenulls=True).over(earlier_rows))
+            out = out.withColumns({lag.name: F.col(f"__prev.l{i}") for i, lag in enumerate(self.lags)}).drop("__prev")
         columns = {}
         for spec in self.rolling:
             start = Window.unboundedPreceding if spec.seconds is None else -spec.seconds
@@ -237,9 +245,13 @@ class _Plan:
                 out[f"__out{i}"] = carried(f"out{i}", F.when(F.col("__after") == spec.seconds + 1, value))
         if self.lags:
             fields = [F.col(f"__row.{lag.column or self.seconds}").alias(f"l{i}") for i, lag in enumerate(self.lags)]
-            out["__lag"] = carried("lag", F.when(F.col("__row").isNotNull(), F.struct(*fields)))
+            out["__lag"] = carried("lag", F.when(self._is_event(), F.struct(*fields)))
         return out
 
+    def _is_event(self) -> Column:
+        event = F.col("__row").isNotNull()
+        return event if self.seen is None else event & F.col(f"__row.{self.seen}")
+
     def _carry(self, rows: DataFrame) -> DataFrame:
         """For each tile of a heavy key, carry rows with what the tiles before it add up to.
 
@@ -265,7 +277,7 @@ class _Plan:
         if lag is not None:
             lag_type = heavy.select(lag.alias("lag")).schema["lag"].dataType
             newest = F.max_by(lag, F.struct("__at", *self._ids))
-            events = heavy.filter(F.col("__row").isNotNull())
+            events = heavy.filter(self._is_event())
             last_event = events.groupBy(*self.keys, TILE).agg(newest.alias("lag"), *helpers)
             parts.append(opened(last_event, {"lag": F.last("lag", ignorenulls=True).over(earlier)}))
         if spread:

@@ -11,6 +11,7 @@ from tidemark.operators.entities import latest
 from tidemark.operators.events import attach_labels, normalize
 from tidemark.operators.history import Lag, Rolling, history
 from tidemark.operators.tiles import DEFAULT_POLICY, KeyLoad, SkewPolicy, measure
+from tidemark.plans import daily
 from tidemark.sources.lake import Lake
 
 # Look-back lengths in seconds and the column names the trained models expect.
@@ -31,6 +32,8 @@ CARD_LAGS = [
 MERCHANT_ROLLING = [
     Rolling(f"m_fraud_cnt_{span}", seconds, "label_is_fraud", prior=True) for span, seconds in MERCHANT_SPANS.items()
 ]
+CARD_STATE = daily.KeyState("card", "cc_num", tuple(CARD_ROLLING), tuple(CARD_LAGS))
+MERCHANT_STATE = daily.KeyState("merchant", "merchant_id", tuple(MERCHANT_ROLLING))
 CARD_SNAPSHOT_FEATURES = [*(s.name for s in CARD_ROLLING), "cc_time_since_last_s"]
 MERCHANT_SNAPSHOT_FEATURES = [s.name for s in MERCHANT_ROLLING]
 FEATURE_COLUMNS = [
@@ -75,16 +78,17 @@ def known_fraud_counts(
     return both.filter("__is_tx").select("t_id", *windows)
 
 
+def _narrow(tx: DataFrame) -> DataFrame:
+    tx = tx if "ts_epoch" in tx.columns else normalize(tx)
+    return tx.select("t_id", "ts", "ts_epoch", "cc_num", "merchant_id", "amount", "ip_address", "card_present")
+
+
 def transaction_features(
     tx: DataFrame, labels: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
     """One row per transaction with all features and the label."""
     require(tx, ["t_id", "ts", "cc_num", "merchant_id", "amount", "ip_address", "card_present"], "transactions")
-    if "ts_epoch" not in tx.columns:
-        tx = normalize(tx)
-    narrow = tx.select(
-        "t_id", "ts", "ts_epoch", "cc_num", "merchant_id", "amount", "ip_address", "card_present"
-    )
+    narrow = _narrow(tx)
     # Keys are measured on the plain events: the label join and the features keep every row once.
     seconds = F.col("ts_epoch")
     card = measure(narrow, ["cc_num"], seconds, policy, max(CARD_SPANS.values()))
@@ -93,6 +97,18 @@ def transaction_features(
     return merchant_features(with_card, policy, merchant).select(*FEATURE_COLUMNS)
 
 
+def features_of_day(lake: Lake, dt: str, tx: DataFrame, labels: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """:func:`transaction_features` of one date's events, their windows and lags reaching back over the dates before."""
+    require(tx, ["t_id", "ts", "cc_num", "merchant_id", "amount", "ip_address", "card_present"], "transactions")
+    narrow = _narrow(tx)
+    labelled = attach_labels(narrow, labels)
+    card, merchant = (daily.past_rows(lake, state, dt, labelled) for state in (CARD_STATE, MERCHANT_STATE))
+    card_load, merchant_load = daily.load_of(narrow, card, CARD_STATE, policy), daily.load_of(narrow, merchant, MERCHANT_STATE, policy)
+    out = daily.with_history(labelled, card, CARD_STATE, policy, card_load)
+    out = out.withColumn("cc_time_since_last_s", F.col("ts_epoch") - F.col("cc_prev_ts_epoch"))
+    return daily.with_history(out, merchant, MERCHANT_STATE, policy, merchant_load).select(*FEATURE_COLUMNS)
+
+
 def card_snapshot(features: DataFrame) -> DataFrame:
     newest = latest(features, ["cc_num"], "ts", ["t_id"])
     return newest.select("cc_num", F.col("ts").alias("event_ts"), *CARD_SNAPSHOT_FEATURES)
@@ -113,11 +129,14 @@ def merchant_history(features: DataFrame) -> DataFrame:
 
 
 def build(lake: Lake, dt: str, run_id: str, policy: SkewPolicy = DEFAULT_POLICY) -> dict[str, str]:
-    """Bronze to silver for one date. The wide table is computed and written once; both snapshots are
-    derived from what was written."""
+    """Bronze to silver for one date, on top of the state that earlier dates have left. The wide table is computed and
+    written once; both snapshots and the state for later dates are derived from what was written."""
     tx, labels = lake.read("bronze/transactions", dt), lake.read("bronze/fraud_labels", dt)
-    out = {"features": lake.publish(transaction_features(tx, labels, policy), "silver/tx_features", dt, run_id)}
+    wide = features_of_day(lake, dt, tx, labels, policy)
+    out = {"features": lake.publish(wide, "silver/tx_features", dt, run_id)}
     features = lake.read("silver/tx_features", dt, run_id)
+    timed = features.withColumn("ts_epoch", epoch_seconds(F.col("ts")))
+    out.update(daily.publish_state(lake, dt, run_id, timed, [CARD_STATE, MERCHANT_STATE]))
     for name, snapshot in (("card_features", card_snapshot), ("merchant_features", merchant_snapshot)):
         dataset = f"silver/online/{name}"
         out[name] = lake.publish(snapshot(features), dataset, dt, run_id)

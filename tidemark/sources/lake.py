@@ -75,15 +75,16 @@ class Lake:
     # -- writing ---------------------------------------------------------------------------------
 
     def publish(
-        self, df: DataFrame, dataset: str, dt: str, run_id: str, watermark: datetime | None = None
-    ) -> str:
+        self, df: DataFrame, dataset: str, dt: str, run_id: str, watermark: datetime | None = None,
+        partition_by: Sequence[str] = (),
+    ) -> str:
         """Write one version and enter it in the manifest; returns its prefix.
 
         A listed version is never written over: readers may be at it. Another run id makes another version.
         """
         prefix = self.version_prefix(dataset, dt, run_id)
         self._refuse_listed(F.col("prefix") == prefix)
-        df.write.mode("overwrite").parquet(f"{self.root}/{prefix}")
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{prefix}")
         self._enter([(dataset, dt, clean_run_id(run_id), "run", prefix, watermark)])
         return prefix
 
@@ -132,6 +133,10 @@ class Lake:
         prefix = self.version_prefix(f"models/{name}", dt, run_id)
         self._enter([(f"models/{name}@{alias}", dt, clean_run_id(run_id), "alias", prefix, None)])
 
+    def enter(self, dataset: str, dt: str, run_id: str, kind: str, prefix: str, watermark: datetime | None = None) -> None:
+        """List what a job has written by itself. Comes last: from here on readers find it."""
+        self._enter([(dataset, dt, clean_run_id(run_id), kind, prefix, watermark)])
+
     def _refuse_listed(self, which: Column) -> None:
         try:
             listed = self.manifest().filter(which & F.col("kind").isin("run", "model"))
@@ -185,6 +190,29 @@ class Lake:
         """All versions, with ``dt`` and ``run_id`` as partition columns to filter on."""
         return self.spark.read.option("pathGlobFilter", "*.parquet").parquet(self.dataset_path(dataset))
 
+    def read_days(self, dataset: str, schema: T.StructType, first: str, before: str) -> DataFrame:
+        """The newest version of each date from ``first`` on and before ``before``, with ``dt`` and the columns of
+        ``schema``; no rows where there is none. One path per date."""
+        try:
+            entries = self.manifest().filter((F.col("dataset") == dataset) & (F.col("kind") == "run"))
+        except NotPublished:
+            return self.spark.createDataFrame([], schema)
+        dated = entries.filter((F.col("dt") >= first) & (F.col("dt") < before))
+        paths = [f"{self.root}/{r['prefix'].strip()}" for r in latest_versions(dated).collect()]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        read = self.spark.read.schema(schema).option("basePath", self.dataset_path(dataset))
+        return read.parquet(*paths).select(*schema.names)
+
+    def newest_before(self, dataset: str, before: str) -> str | None:
+        """Prefix of the newest version of the last date before ``before``."""
+        try:
+            entries = self.manifest().filter((F.col("dataset") == dataset) & (F.col("kind") == "run"))
+        except NotPublished:
+            return None
+        row = latest_versions(entries.filter(F.col("dt") < before)).orderBy(F.col("dt").desc()).first()
+        return None if row is None else row["prefix"].strip()
+
     def read_current(self, dataset: str) -> DataFrame:
         return self.read_prefix(f"current/{dataset}")
 

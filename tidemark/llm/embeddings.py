@@ -70,7 +70,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, shard: int = SHARD
         spread = np.linspace(0, len(part) - 1, min(audit, len(part))).astype(int)
         own = {
             "classes": part["class"].to_numpy(np.int64).tobytes(), "counts": part["n"].to_numpy(np.int64).tobytes(), "vectors": graph.vectors.tobytes(),
-            "layers": [x.tobytes() for x in graph.layers], "entry": graph.entry, "beam": graph.audited(graph.vectors[spread], least, beam, recall),
+            "layers": [x.tobytes() for x in graph.layers], "entry": graph.entry, "beam": graph.audited(graph.vectors[spread], least, beam, recall, spread),
         }
         return pd.DataFrame([{**part[["label", "dim", "shard", "shards"]].iloc[0].to_dict(), **own}])
 

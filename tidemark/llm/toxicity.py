@@ -263,8 +263,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     labelled = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = F.xxhash64("label_id")
     some = [known.where(F.col("toxic") == t).orderBy(order, "label_id").limit(fit_rows) for t in (0, 1)]
-    # At most 2 * fit_rows ids: they are broadcast.
-    rows = docs.join(F.broadcast(some[0].unionAll(some[1])), docs[doc_id] == F.col("label_id")).select(docs[text].alias("text"), "toxic")
+    # Only the two columns: others may be named like the labels'. At most 2 * fit_rows ids: they are broadcast.
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = own.join(F.broadcast(some[0].unionAll(some[1])), own["doc_id"] == F.col("label_id")).select("text", "toxic")
     train = stored(rows, "toxicity-train").select("text", "toxic")
     sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):

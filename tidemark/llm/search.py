@@ -175,8 +175,8 @@ def index(vectors: DataFrame, plan: Plan, top: int = TOP, shard: int = SHARD) ->
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, part, documents, postings = TaskContext.get().partitionId(), 0, [], 0, 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                some = batch.slice(start, 1024)
+            for start in range(0, batch.num_rows, 32):
+                some = batch.slice(start, 32)
                 part.append(some)
                 documents, postings = documents + some.num_rows, postings + len(some.column(2).flatten())
                 if documents >= shard or postings >= POSTINGS:

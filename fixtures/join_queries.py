@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fixtures.history_queries import FEATURES_SQL, card_states, merchant_states
 from fixtures.registry import ORACLES, query
 from fixtures.views import LABELS_SQL, labels, table, tx, tx_geo, with_tx
-from tidemark.operators.asof import asof_join, best_per_left_id
+from tidemark.operators.asof import asof_band, asof_join, best_per_left_id
 from tidemark.operators.tiles import DEFAULT_POLICY, SkewPolicy
 from tidemark.operators.events import enrich, stack
 from tidemark.plans import silver, training
@@ -61,6 +61,12 @@ def asof_ttl(spark, sf_dir):
     )
 
 
+@query("asof_band", ORACLES["asof_ttl"])
+def band(spark, sf_dir):
+    left, right = _sides(spark, sf_dir)
+    return asof_band(left, right, ["cc_num"], ["cc_num"], "ts", "ts", ["t_id"], 3 * 86_400, ["buy_id"], matched_ts="buy_ts")
+
+
 @query(
     "asof_ns",
     with_tx(

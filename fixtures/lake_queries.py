@@ -11,11 +11,12 @@ from fixtures.views import labels, tx, tx_geo, with_tx
 from tidemark.contracts import LABELS_RAW, TRANSACTIONS_RAW
 from tidemark.functions.scalars import ipv4_number, ipv4_text, money
 from tidemark.functions.times import iso_text, parse_ts
-from tidemark.operators.events import run_id_of, sorted_by_time
+from tidemark.operators.events import order_inversions, run_id_of, sorted_by_time
 from tidemark.plans import silver
 from tidemark.session import shared_dir
 from tidemark.sources.jsonl import read_jsonl, typed, write_jsonl
 from tidemark.sources.lake import Lake, check_published, latest_versions, versions_of_run
+from tidemark.streaming.incremental import dedupe_available
 
 
 TEXT_COLUMNS = ["t_id", "cc_num", "account_id", "merchant_id", "country", "category"]
@@ -141,6 +142,14 @@ def sorted_log(spark, sf_dir):
     return sorted_by_time(tx(spark, sf_dir).select("t_id", "ts", "cc_num", "amount"), "ts", ["t_id"])
 
 
+@query("sorted_log_order", with_tx("select count(*) as n_rows, cast(0 as bigint) as inversions from tx"))
+def sorted_log_order(spark, sf_dir):
+    """The written log, read back in the order of its files and rows."""
+    path = shared_dir(spark, "log")
+    sorted_by_time(tx(spark, sf_dir).select("t_id", "ts", "cc_num", "amount"), "ts", ["t_id"]).write.parquet(path)
+    return order_inversions(spark.read.parquet(path), ["ts", "t_id"]).select("n_rows", "inversions")
+
+
 @query("ts_parse", with_tx("select t_id, ts as raw, try_cast(ts as timestamp) as parsed from raw_tx", RAW_SQL))
 def ts_parse(spark, sf_dir):
     raw = gate_inputs(spark, sf_dir).tx
@@ -193,3 +202,15 @@ def ingest_labels(spark, sf_dir):
     raw = labels(spark, sf_dir).withColumns({**texts, "ts": iso_text(F.col("ts"))}).select(*LABELS_RAW.names)
     write_jsonl(raw, path)
     return typed(read_jsonl(spark, path, LABELS_RAW).rows).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stream_dedup", with_tx("select distinct t_id, cc_num, ts, amount from tx"))
+def stream_dedup(spark, sf_dir):
+    """The events in two deliveries, the second one a replay of all; the stream is stopped and started between them."""
+    feed, target, checkpoint = (shared_dir(spark, name) for name in ("feed", "deduped", "checkpoint"))
+    events = tx(spark, sf_dir).select("t_id", "cc_num", F.col("ts").cast("timestamp").alias("ts"), "amount")
+    for delivery in (events.filter(F.pmod(F.xxhash64("t_id"), F.lit(3)) > 0), events):
+        delivery.write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(events.schema).parquet(feed)
+        dedupe_available(stream, ["t_id"], "ts", "60 days", target, checkpoint).awaitTermination()
+    return spark.read.schema(events.schema).parquet(target).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from fixtures.history_queries import card_states, merchant_states
 from fixtures.registry import ORACLES, query
-from fixtures.views import labels, tx, tx_geo, with_tx
+from fixtures.views import labels, table, tx, tx_geo, with_tx
 from tidemark.operators import metrics, prepare
-from tidemark.operators.model import TrainConfig, train
+from tidemark.operators.model import TrainConfig, limit_rows, train
 from tidemark.operators.ordered import TilePolicy
 from tidemark.plans import silver, training
 from tidemark.session import shared_dir
@@ -75,6 +75,31 @@ def impute_median(spark, sf_dir):
     return prepare.impute_median(_gappy(spark, sf_dir).select("t_id", "amount"), ["amount"])
 
 
+NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "medians_all",
+    " union all ".join(
+        f"select l_returnflag, '{c}' as \"column\", quantile_cont(cast({c} as double), 0.5) as median from lineitem group by 1" for c in NUMBERS
+    ),
+)
+def medians_all(spark, sf_dir):
+    return prepare.class_medians(table(spark, sf_dir, "lineitem"), NUMBERS, ["l_returnflag"])
+
+
+@query(
+    "limit_rows",
+    with_tx(
+        "select t_id, label_is_fraud from (select t_id, label_is_fraud, row_number() over (partition by label_is_fraud order by h) as rn, "
+        "greatest(1, floor(count(*) over (partition by label_is_fraud) * 100.0 / count(*) over ())) as k from "
+        "(select *, substr(md5('43:' || cast(t_id as varchar)), 1, 15) as h from tx)) where rn <= k"
+    ),
+)
+def limited(spark, sf_dir):
+    return limit_rows(tx(spark, sf_dir).select("t_id", "label_is_fraud"), TrainConfig(fit_rows=100))
+
+
 @query(
     "impute_mode",
     with_tx(

@@ -79,6 +79,35 @@ def ip_country(spark, sf_dir):
     return patterns.ip_country_conflicts(events, _networks(spark, sf_dir), [8])
 
 
+SUPPLIER_NET = "concat_ws('.', cast(s_nationkey + 10 as {text}), cast(s_suppkey % 256 as {text}), cast(s_suppkey * 7 % 256 as {text}), '9')"
+NETWORKS_SQL = f"""
+cidrs as (select concat_ws('.', cast(n_nationkey + 10 as varchar), '0', '0', '0') as base, 8 as bits, n_nationkey as country from nation
+          union all select {SUPPLIER_NET.format(text="varchar")}, 1 + s_suppkey % 32, cast(s_suppkey % 25 as integer) from supplier),
+nets as (select *, addr - addr % cast(pow(2, 32 - bits) as bigint) as first from (select *, cast(split_part(base, '.', 1) as bigint) * 16777216
+         + cast(split_part(base, '.', 2) as bigint) * 65536 + cast(split_part(base, '.', 3) as bigint) * 256
+         + cast(split_part(base, '.', 4) as bigint) as addr from cidrs)),
+ips as (select ip_address, any_value(cast(split_part(ip_address, '.', 1) as bigint) * 16777216 + cast(split_part(ip_address, '.', 2) as bigint)
+        * 65536 + cast(split_part(ip_address, '.', 3) as bigint) * 256 + cast(split_part(ip_address, '.', 4) as bigint)) as ip from tx group by 1),
+hit as (select ip_address, country, row_number() over (partition by ip_address order by bits desc, country) as rn
+        from ips join nets on ip between first and first + cast(pow(2, 32 - bits) as bigint) - 1)"""
+
+
+@query(
+    "ip_country_flat",
+    with_tx(
+        "select t_id, tx.ip_address, hit.country as ip_country from tx left join hit on hit.ip_address = tx.ip_address and rn = 1",
+        NETWORKS_SQL,
+    ),
+)
+def ip_country_flat(spark, sf_dir):
+    """Nested networks of all 32 lengths: the nations' and one per supplier."""
+    base = F.expr(SUPPLIER_NET.format(text="string"))
+    cidr = F.concat(base, F.lit("/"), (1 + F.col("s_suppkey") % 32).cast("string"))
+    own = table(spark, sf_dir, "supplier").select(cidr.alias("cidr"), (F.col("s_suppkey") % 25).cast("int").alias("country"))
+    networks = _networks(spark, sf_dir).unionByName(own)
+    return patterns.network_country_flat(tx_geo(spark, sf_dir).select("t_id", "ip_address"), networks)
+
+
 @query(
     "geo_box",
     with_tx(

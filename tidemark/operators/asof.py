@@ -102,6 +102,66 @@ def asof_join(
     )
 
 
+def asof_band(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    left_id: Sequence[str],
+    ttl_seconds: int,
+    right_id: Sequence[str] = (),
+    namespace: str = "",
+    allow_exact: bool = True,
+    matched_ts: str | None = None,
+) -> DataFrame:
+    """:func:`asof_join` with a bounded age, as a join on time bands instead of a sorted pass.
+
+    Time is cut into buckets as long as the age bound: a match lies in the left row's bucket or the one before. Right rows
+    stand in their own bucket and the next, so the join is an equi-join on key and bucket, and a crowded key is spread over its
+    buckets, which adaptive execution splits further. Of a left row's candidates one aggregate keeps the newest. This emits
+    the pairs within two buckets: good for short ages and few right rows each, where the left side need not be sorted;
+    :func:`asof_join` has no such bound. ``left_id`` is unique on the left side.
+    """
+    require(left, [*left_keys, left_ts, *left_id], "left side")
+    require(right, [*right_keys, right_ts, *right_id], "right side")
+    if ttl_seconds <= 0:
+        raise ContractError("a band needs an age above 0")
+    carried = [c for c in right.columns if c not in {*right_keys, right_ts}]
+    names = namespaced(carried, namespace)
+    added = [*names.values(), *([matched_ts] if matched_ts else [])]
+    clash = sorted({c for k, c in enumerate(added) if c in left.columns or c in added[:k]})
+    if clash:
+        raise ContractError(f"as-of join would repeat columns {clash}; use a namespace")
+
+    keys = [f"__k{i}" for i in range(len(left_keys))]
+    bucket = lambda ts: F.floor(epoch_seconds(F.col(ts)) / F.lit(ttl_seconds))
+    lefts = left.select(
+        *(F.col(c).alias(k) for c, k in zip(left_keys, keys)),
+        bucket(left_ts).alias("__b"),
+        F.col(left_ts).alias("__t"),
+        F.struct(*(F.col(c) for c in left_id)).alias("__id"),
+    ).filter(_all_set([*keys, "__t"]))
+    rights = right.select(
+        *(F.col(c).alias(k) for c, k in zip(right_keys, keys)),
+        F.explode(F.array(bucket(right_ts), bucket(right_ts) + 1)).alias("__b"),
+        F.col(right_ts).alias("__ts"),
+        F.struct(F.col(right_ts).alias("__ts"), *right_id).alias("__newest"),
+        F.struct(F.col(right_ts).alias("__ts"), *carried).alias("__hit"),
+    ).filter(_all_set([*keys, "__ts"]))
+    age = F.make_dt_interval(secs=F.lit(ttl_seconds))
+    within = (F.col("__ts") <= F.col("__t")) if allow_exact else (F.col("__ts") < F.col("__t"))
+    pairs = lefts.join(rights, [*keys, "__b"]).filter(within & (F.col("__ts") >= F.col("__t") - age))
+    best = pairs.groupBy("__id").agg(F.max_by("__hit", "__newest").alias("__found"))
+    out = left.withColumn("__id", F.struct(*(F.col(c) for c in left_id))).join(best, "__id", "left")
+    return out.select(
+        *left.columns,
+        *([F.col("__found.__ts").alias(matched_ts)] if matched_ts else []),
+        *(F.col(f"__found.{c}").alias(names[c]) for c in carried),
+    )
+
+
 def best_per_left_id(
     joined: DataFrame, left_id: Sequence[str], matched_ts: str, order_id: Sequence[str] = ()
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts import require
@@ -53,6 +53,28 @@ def sorted_by_time(df: DataFrame, ts: str, order_id: Sequence[str], partitions:
     return ranged.sortWithinPartitions(*by)
 
 
+def order_inversions(written: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row that proves the order of a written table: n_rows, n_files, and inversions, the rows or files that begin before
+    the one in front of them ends. Files are taken by name, rows by their place in the file.
+
+    Rows are compared within their file, one file per task; files by their smallest and largest row alone.
+    """
+    key = F.struct(*by)
+    rows = written.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"), key.alias("key"))
+    earlier = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    files = rows.withColumn("before", earlier).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("key") < F.col("before")).alias("inside"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    # As many rows as files.
+    between = F.col("low") < F.max("high").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    counted = files.withColumn("between", F.coalesce(between, F.lit(False)))
+    return counted.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.count(F.lit(1)).alias("n_files"),
+        F.coalesce(F.sum("inside") + F.count_if("between"), F.lit(0)).alias("inversions"),
+    )
+
+
 def drop_unlabelled(df: DataFrame, label: str = "label_is_fraud") -> DataFrame:
     return require(df, [label]).dropna(subset=[label])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts import ContractError, require
@@ -100,6 +100,62 @@ def network_country(tx: DataFrame, networks: DataFrame, lengths: Sequence[int],
     return out.select(*tx.columns, F.coalesce(*hits).alias("ip_country"))
 
 
+def flat_networks(networks: DataFrame) -> DataFrame:
+    """(block, start, country): nested networks (cidr, country) as intervals that do not overlap, cut at blocks of 65,536
+    addresses. An interval reaches to the next start of its block; its country is that of the longest network over it, NULL
+    where there is none. Of equal networks the smallest country counts.
+
+    Networks nest, so at any address the newest network opened of each length is the only one of that length that can still
+    be open: one sorted pass carries the newest of each length, whatever their number.
+    """
+    base, bits = F.split("cidr", "/")[0], F.try_element_at(F.split("cidr", "/"), F.lit(2)).try_cast("int")
+    parsed = networks.select(ipv4_number(base).alias("at"), bits.alias("bits"), "country")
+    parsed = parsed.filter(F.col("at").isNotNull() & F.col("bits").between(0, 32) & F.col("country").isNotNull())
+    span = F.expr("shiftleft(1L, 32 - bits)")
+    start = F.col("at") - F.pmod(F.col("at"), span)
+    nets = parsed.groupBy(start.alias("start"), "bits").agg(F.min("country").alias("country")).withColumn("end", F.col("start") + span - 1)
+    # A network above a block's size stands in each of its blocks; of these only the longest matters there.
+    wide = nets.filter(F.col("bits") < 16).withColumn("block", F.explode(F.sequence(F.shiftright("start", 16), F.shiftright("end", 16))))
+    wide = wide.groupBy("block").agg(F.max_by("country", "bits").alias("country"))
+    first = F.shiftleft(F.col("block").cast("bigint"), 16)
+    wide = wide.select("block", first.alias("start"), (first + 65_535).alias("end"), F.lit(15).alias("bits"), "country")
+    fine = nets.filter(F.col("bits") >= 16).select(F.shiftright("start", 16).alias("block"), "start", "end", "bits", "country")
+    opened = wide.unionByName(fine)
+    edges = F.array(F.struct(F.col("start").alias("at"), F.struct("end", "country").alias("net")), F.struct((F.col("end") + 1).alias("at"), F.lit(None).alias("net")))
+    rows = opened.select("block", "bits", F.explode(edges).alias("edge")).select("block", "bits", "edge.*")
+    rows = rows.filter(F.shiftright("at", 16) == F.col("block"))
+    so_far = Window.partitionBy("block").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    lengths = range(32, 14, -1)
+    carried = {f"n{n}": F.last(F.when(F.col("bits") == n, F.col("net")), ignorenulls=True).over(so_far) for n in lengths}
+    open_ = [F.when(F.col(f"n{n}.end") >= F.col("at"), F.col(f"n{n}.country")) for n in lengths]
+    starts = rows.withColumns(carried).groupBy("block", "at").agg(F.first(F.coalesce(*open_)).alias("country"))
+    return starts.select("block", F.col("at").alias("start"), "country")
+
+
+def network_country_flat(tx: DataFrame, networks: DataFrame, ip: str = "ip_address", spread: int = 16) -> DataFrame:
+    """:func:`network_country` for networks of any lengths at once: addresses and intervals are sorted together and the last
+    interval is carried forward. One exchange of the events, however many lengths there are.
+
+    A block's addresses go to ``spread`` groups, each with all intervals of the block, so a block that holds a third of all events is
+    not one task; addresses that are none go round all groups.
+    """
+    salt = F.pmod(F.xxhash64(*[c for c, t in tx.dtypes if not t.startswith(("map", "array", "struct"))]), F.lit(spread))
+    number = ipv4_number(F.col(ip))
+    events = tx.select(
+        F.coalesce(F.shiftright(number, 16), -1 - F.pmod(F.xxhash64(ip, salt), F.lit(4096))).cast("bigint").alias("__block"),
+        salt.alias("__salt"), number.alias("__at"), F.lit(1).alias("__side"), F.struct(*tx.columns).alias("__row"),
+    )
+    flat = flat_networks(networks)
+    intervals = flat.select(
+        F.col("block").cast("bigint").alias("__block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))).alias("__salt"),
+        F.col("start").alias("__at"), F.lit(0).alias("__side"), F.struct("country").alias("__hit"),
+    )
+    so_far = Window.partitionBy("__block", "__salt").orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    stacked = events.unionByName(intervals, allowMissingColumns=True)
+    found = stacked.withColumn("__hit", F.last("__hit", ignorenulls=True).over(so_far)).filter("__row is not null")
+    return found.select("__row.*", F.col("__hit.country").alias("ip_country"))
+
+
 def ip_country_conflicts(tx: DataFrame, networks: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """Events whose address lies outside their country's networks (or in none)."""
     return network_country(tx, networks, lengths).filter(~F.col("ip_country").eqNullSafe(F.col("country")))

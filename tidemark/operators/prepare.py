@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import DEFAULT_TILES, TilePolicy, kth_smallest, quantiles
+from tidemark.operators.ordered import DEFAULT_TILES, TilePolicy, order_statistics
 
 
 def row_hash(row_id: str, seed: int) -> Column:
@@ -29,6 +29,14 @@ def hash_split(df: DataFrame, row_id: str, test_percent: float = 20, seed: int =
     return df.withColumn("is_test", (F.pmod(row_hash(row_id, seed), F.lit(100)) < test_percent))
 
 
+def _smallest(hashed: DataFrame, label: str, counts: DataFrame, policy: TilePolicy) -> DataFrame:
+    """Add ``__cut``: of each class, the ``k``-th smallest ``__hash`` (``counts``: class, k); NULL where k is 0."""
+    wanted = counts.filter("k > 0").select(label, (F.col("k") - 1).cast("bigint").alias("rank"))
+    cuts = order_statistics(hashed.select(label, F.col("__hash").alias("v")), wanted, [label], policy)
+    cuts = cuts.select(F.col(label).alias("__class"), F.col("v").alias("__cut"))
+    return hashed.join(cuts, F.col(label).eqNullSafe(F.col("__class")), "left").drop("__class")
+
+
 def stratified_split(
     df: DataFrame,
     row_id: str,
@@ -39,66 +47,43 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``: in each class, the ``round(share * n)`` rows of smallest hash.
 
-    The cut hash of each class is found as an order statistic, so no class is sorted in one task.
+    The cut hashes of all classes, of any number, are found together as order statistics; no class is sorted in one task.
     """
     hashed = df.withColumn("__hash", row_hash(row_id, seed))
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(1001).collect()
-    if len(sizes) > 1000:
-        raise ValueError(f"{label} has more than 1000 classes")
-    is_test = F.lit(False)
-    for row in sizes:
-        in_class = F.col(label).eqNullSafe(F.lit(row[label]))
-        cut = kth_smallest(hashed.filter(in_class), F.col("__hash"), int(row["n"] * test_share + 0.5), policy)
-        if cut is not None:
-            is_test = is_test | (in_class & (F.col("__hash") <= cut))
-    return hashed.withColumn("is_test", is_test).drop("__hash")
+    sizes = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(test_share) + 0.5).alias("k"))
+    is_test = F.coalesce(F.col("__hash") <= F.col("__cut"), F.lit(False))
+    return _smallest(hashed, label, sizes, policy).withColumn("is_test", is_test).drop("__hash", "__cut")
 
 
 def bounded(df: DataFrame, row_id: str, label: str, most: int, seed: int, policy: TilePolicy = DEFAULT_TILES) -> DataFrame:
     """About ``most`` rows: of each class its share, and at least one, those of smallest hash."""
-    hashed = df.withColumn("__hash", row_hash(row_id, seed))
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(row["n"] for row in sizes)
+    total = df.count()
     if total <= most:
         return df
-    kept = F.lit(False)
-    for row in sizes:
-        in_class = F.col(label).eqNullSafe(F.lit(row[label]))
-        cut = kth_smallest(hashed.filter(in_class), F.col("__hash"), max(1, row["n"] * most // total), policy)
-        kept = kept | (in_class & (F.col("__hash") <= cut))
-    return hashed.filter(kept).drop("__hash")
+    hashed = df.withColumn("__hash", row_hash(row_id, seed))
+    share = F.floor(F.count(F.lit(1)).cast("decimal(20,0)") * F.lit(most) / F.lit(total))
+    sizes = df.groupBy(label).agg(F.greatest(F.lit(1), share).alias("k"))
+    return _smallest(hashed, label, sizes, policy).filter("__hash <= __cut").drop("__hash", "__cut")
 
 
-def medians(df: DataFrame, columns: Sequence[str], policy: TilePolicy = DEFAULT_TILES) -> dict[str, float | None]:
-    """Exact median per column; the mean of the two middle values when their number is even.
+def class_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), policy: TilePolicy = DEFAULT_TILES) -> DataFrame:
+    """(by, column, median): exact medians of all columns and classes at once, the mean of the two middle values when
+    their number is even. The columns are counted side by side; see :func:`order_statistics` for the passes."""
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns))
+    values = df.select(*by, F.inline(pairs)).filter(F.col("v").isNotNull())
+    group = [*by, "column"]
+    middle = values.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    ranks = F.array_distinct(F.array(F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)))
+    found = order_statistics(values, middle.select(*group, F.explode(ranks).alias("rank")), group, policy)
+    return found.groupBy(*group).agg((F.min("v") + (F.max("v") - F.min("v")) * 0.5).alias("median"))
 
-    All columns are counted in one pass as (column, value) pairs. Columns with few distinct values are
-    finished together, one window partition each; the others go through the tiled quantile one by one.
-    """
+
+def medians(df: DataFrame, columns: Sequence[str], policy: TilePolicy = DEFAULT_TILES) -> dict[str, float | None]:
+    """Exact median per column, NULL for a column without values."""
     if not columns:
         return {}
-    pairs = F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns))
-    values = df.select(F.inline(pairs)).filter(F.col("v").isNotNull())
-    counted = values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r["c"]: r["k"] for r in counted.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
-    out: dict[str, float | None] = dict.fromkeys(columns)
-    small = [c for c, k in sizes.items() if k <= policy.tile_rows]
-    if small:
-        per_column = Window.partitionBy("c")
-        before = per_column.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-        placed = counted.filter(F.col("c").isin(small)).withColumns(
-            {"first": F.coalesce(F.sum("n").over(before), F.lit(0)), "rows": F.sum("n").over(per_column)}
-        )
-
-        def at(rank: Column) -> Column:
-            return F.max(F.when((F.col("first") <= rank) & (F.col("first") + F.col("n") > rank), F.col("v")))
-
-        low, high = at(F.floor((F.col("rows") - 1) / 2)), at(F.ceil((F.col("rows") - 1) / 2))
-        for row in placed.groupBy("c").agg((low + (high - low) * 0.5).alias("m")).collect():
-            out[row["c"]] = row["m"]
-    for c in sizes.keys() - set(small):
-        out[c] = quantiles(df, c, {"m": 0.5}, policy).first()["m"]
-    return out
+    found = {r["column"]: r["median"] for r in class_medians(df, columns, policy=policy).collect()}
+    return {c: found.get(c) for c in columns}
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], policy: TilePolicy = DEFAULT_TILES) -> DataFrame:
@@ -158,8 +143,5 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    weights = class_weights(df, label).limit(1001).collect()
-    if len(weights) > 1000:
-        raise ValueError(f"{label} has more than 1000 classes")
-    by_class = F.create_map(*(F.lit(x) for row in weights for x in (row[label], row["weight"])))
-    return df.withColumn(name, F.try_element_at(by_class, F.col(label)))
+    weights = class_weights(df, label).select(F.col(label).alias("__class"), F.col("weight").alias(name))
+    return df.join(weights, F.col(label) == F.col("__class"), "left").drop("__class")

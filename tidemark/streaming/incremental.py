@@ -7,6 +7,8 @@ overwrites itself; a materialized one makes the next version of the table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +61,26 @@ def materialize_available(source: DataFrame, view: FeatureView, online: str, che
     )
 
 
+def dedupe_available(source: DataFrame, keys: Sequence[str], ts: str, delay: str, target: str, checkpoint: str) -> StreamingQuery:
+    """Append each event of a stream once to Parquet below ``target``.
+
+    The state store remembers the keys of events until the watermark, ``delay`` behind the newest event time, has passed them:
+    a copy whose time is within ``delay`` of the first one is dropped, also after a restart. The state is as large as the keys of
+    that span, whatever the length of the stream. Rows without a time have no place in it and are left out.
+    """
+    return (
+        source.filter(F.col(ts).isNotNull())
+        .withWatermark(ts, delay)
+        .dropDuplicatesWithinWatermark(list(keys))
+        .writeStream.format("parquet")
+        .option("path", hadoop_uri(target))
+        .option("checkpointLocation", hadoop_uri(checkpoint))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def newest_version(spark: SparkSession, online: str) -> int | None:
     """The number of the newest version of a table kept by :func:`materialize_available`."""
     try:

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job needs for right results (UTC) or for surviving skew (adaptive execution).
+# Settings every job needs for right results (UTC), for surviving skew (adaptive execution) or for bounded memory.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +15,8 @@ REQUIRED_CONF = {
     # Split a skewed join partition even where the step after it then has to shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows go to Python in batches of bounded bytes: 10,000 long texts at once would not fit a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

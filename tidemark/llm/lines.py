@@ -1,18 +1,21 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group.
+"""Fuzzy line dedup: SimHash of normalised lines, joins on blocks, edit similarity, one occurrence per group.
 
 A line is normalised to its lower-cased words (letters, digits). Lines of at least ``LEAST`` words take
 part, and lines with at least ``UNSPACED`` letters of scripts that set no spaces between words (Chinese, Japanese,
-Thai, Lao, Tibetan, Burmese, Khmer); these have pairs of letters as features of their SimHash, the others words. Two different lines are linked if their 64-bit SimHashes differ in at most ``BITS`` bits and their
-normalised texts have an edit similarity of at least ``SIMILAR``. With ``m`` blocks, hashes that differ in
-``BITS`` bits agree in ``m - BITS`` blocks: every choice of such blocks is a join key. How many blocks are taken
-hangs on the number of lines and decides the cost, never the result.
+Thai, Lao, Tibetan, Burmese, Khmer). Features are pairs of neighbouring words, in scripts without spaces pairs of letters.
+
+Two different lines are candidates if they share a block. Some blocks are parts of the 64-bit SimHash: with ``m`` parts, hashes
+that differ in ``BITS`` bits agree in ``m - BITS`` of them, and every choice of such parts is a key. A changed word turns
+more bits than that, so ``MIN_BLOCKS`` further keys are made of two minimum hashes of the features each. Candidates whose SimHashes differ in
+at most ``WIDE`` bits and whose lengths allow it are verified: they are linked if their normalised texts have an edit
+similarity of at least ``SIMILAR``.
 
 In each key's region all lines are first compared with one pivot line. Lines in the pivot's component need no
 comparing among each other; the other lines of the region are compared with all that can be close to them and
 are not in their component. Of each connected group, the occurrence that is smallest by (doc_id, text hash, line number) stays.
 
 Defined results: a null text stays null; empty lines and lines that do not take part stay, exact repeats of them too; rows that agree in id and
-text are one document, and each keeps the same lines; null ids come last.
+text are one document, and each keeps the same lines; null ids come last; lines of any length are worked on whole.
 """
 
 from __future__ import annotations
@@ -25,18 +28,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from tidemark.llm.components import components
 from tidemark.llm.store import stored
-from tidemark.llm.tokens import Words, mix, pieces
+from tidemark.llm.tokens import KINDS, Words, mix, pieces
 
 LEAST = 5
 UNSPACED = 20
-BITS = 3
+#: SimHash bits that the pigeonhole keys allow for, and bits beyond which a candidate is not verified.
+BITS, WIDE = 1, 26
+MIN_BLOCKS = 6
 SIMILAR = 0.8
 #: Rows of ids that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_ORDERS = mix(np.arange(1, 2 * MIN_BLOCKS + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
 _WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -69,39 +76,77 @@ def _sim(h: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > size[:, None], axis=1).reshape(-1).view(np.uint64)
 
 
-def _sim_of_pairs(texts: list[str]) -> np.ndarray:
-    """SimHashes of normalised lines of two letters or more by their pairs of letters."""
+def _neighbours(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of each element with the one after it; the last of a run is paired with the run's end."""
+    after = np.append(h[1:], np.uint64(0))
+    after[starts[1:] - 1] = np.uint64(0)
+    return mix(h * _STEP + after)
+
+
+def _marks(h: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """SimHashes of runs, and their keys of minimum hashes, a row per run."""
+    features = _neighbours(h, starts)
+    low = [np.minimum.reduceat(features * order, starts) for order in _ORDERS]
+    blocks = [mix(low[2 * k] * _STEP + mix(low[2 * k + 1] + np.uint64(k))) for k in range(MIN_BLOCKS)]
+    return _sim(features, starts, size), np.stack(blocks, axis=1)
+
+
+def _marks_of_letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The marks of normalised lines by their letters."""
     letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
     size = np.array([len(t) for t in texts])
-    pairs = np.delete(mix(letters[:-1] * _STEP + letters[1:]), np.cumsum(size)[:-1] - 1)
-    return _sim(pairs, np.concatenate([[0], np.cumsum(size - 1)[:-1]]), size - 1)
+    return _marks(letters, np.concatenate([[0], np.cumsum(size)[:-1]]), size)
 
 
-def hashed_lines(texts: pa.Array, least: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of some texts each: (text index, line number, hash, SimHash, first byte, last byte, data) of lines with ``least`` words or ``UNSPACED`` letters."""
-    for at, data, bounds in pieces(texts):
+class Lines:
+    """Lines of some texts that take part: ``doc`` (text index), ``line`` (number), ``hash``, bytes ``begin`` to ``end`` of ``data``.
+
+    With ``marked`` also ``sim``, ``blocks`` (keys of minimum hashes) and ``letters`` (of the normalised line, spaces included).
+    """
+
+    def __init__(self, at: int, data: np.ndarray, bounds: np.ndarray, least: int, marked: bool):
         lines, first_line = _line_bounds(data, bounds)
         words = Words(data, lines, "alnum")
         count = np.diff(words.first)
         unspaced = _unspaced(data, lines) >= UNSPACED
         long = np.flatnonzero((count >= max(1, least)) | unspaced)
+        doc = np.searchsorted(first_line, long, "right") - 1
+        self.doc, self.line, self.data = at + doc, long - first_line[doc], data
+        self.begin, self.end = lines[long], lines[long + 1]
         if not len(long):
-            continue
+            return
         begin, size = words.first[:-1][long], count[long]
         # Words of the lines that take part, one line after the other.
-        picked = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        h = words.hash[picked]
         starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+        h = words.hash[np.repeat(begin - starts, size) + np.arange(size.sum())]
         place = np.arange(len(h)) - np.repeat(starts, size)
         powers = np.full(int(size.max()) + 1, _STEP, np.uint64)
         powers[0] = np.uint64(1)
         powers = np.multiply.accumulate(powers)
-        whole = mix(np.add.reduceat(h * powers[place], starts) + size.astype(np.uint64))
-        sim = _sim(h, starts, size)
-        if (by_pairs := np.flatnonzero(unspaced[long])).size:
-            sim[by_pairs] = _sim_of_pairs([normalised(data[lines[k] : lines[k + 1]].tobytes().decode()) for k in long[by_pairs]])
-        doc = np.searchsorted(first_line, long, "right") - 1
-        yield at + doc, long - first_line[doc], whole.view(np.int64), sim.view(np.int64), lines[long], lines[long + 1], data
+        self.hash = mix(np.add.reduceat(h * powers[place], starts) + size.astype(np.uint64)).view(np.int64)
+        if not marked:
+            return
+        sim, blocks = _marks(h, starts, size)
+        if (by_letters := np.flatnonzero(unspaced[long])).size:
+            sim[by_letters], blocks[by_letters] = _marks_of_letters([normalised(self.text(k)) for k in by_letters])
+        self.sim, self.blocks = sim.view(np.int64), blocks.view(np.int64)
+        # A code point is counted at its first byte.
+        counted = np.concatenate([[0], np.cumsum(KINDS["alnum"][data] & ((data & 0xC0) != 0x80))])
+        self.letters = counted[self.end] - counted[self.begin] + size - 1
+
+    def __len__(self) -> int:
+        return len(self.line)
+
+    def text(self, k: int) -> str:
+        return self.data[self.begin[k] : self.end[k]].tobytes().decode()
+
+
+def hashed_lines(texts: pa.Array, least: int, marked: bool = True) -> Iterator[Lines]:
+    """The lines with ``least`` words or ``UNSPACED`` letters, of some texts each."""
+    for at, data, bounds in pieces(texts):
+        found = Lines(at, data, bounds, least, marked)
+        if len(found):
+            yield found
 
 
 def blocks_for(lines: int) -> int:
@@ -171,18 +216,20 @@ def _held(df: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """A row per line that takes part: doc_id, text_hash, line, hash, sim. ``docs``: doc_id, text_hash, text."""
+    """A row per line that takes part: doc_id, text_hash, line, hash, sim, letters, blocks. ``docs``: doc_id, text_hash, text."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, line, whole, sim, _, _, _ in hashed_lines(batch.column(2), least):
-                own = pa.array(doc)
+            for found in hashed_lines(batch.column(2), least):
+                own = pa.array(found.doc)
+                blocks = pa.ListArray.from_arrays(np.arange(0, found.blocks.size + 1, MIN_BLOCKS, dtype=np.int32), pa.array(found.blocks.reshape(-1)))
+                columns = [pa.array(found.line, pa.int64()), pa.array(found.hash), pa.array(found.sim), pa.array(found.letters, pa.int64()), blocks]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(own), batch.column(1).take(own), pa.array(line, pa.int64()), pa.array(whole), pa.array(sim)], ["doc_id", "text_hash", "line", "hash", "sim"]
+                    [batch.column(0).take(own), batch.column(1).take(own), *columns], ["doc_id", "text_hash", "line", "hash", "sim", "letters", "blocks"]
                 )
 
-    schema = docs.select("doc_id", "text_hash").schema.add("line", "long").add("hash", "long").add("sim", "long")
-    return docs.select("doc_id", "text_hash", "text").mapInArrow(listed, schema)
+    schema = docs.select("doc_id", "text_hash").schema.add("line", "long").add("hash", "long").add("sim", "long").add("letters", "long")
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(listed, schema.add("blocks", ArrayType(LongType())))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, lines: DataFrame, least: int) -> DataFrame:
@@ -190,10 +237,9 @@ def _texts(docs: DataFrame, wanted: DataFrame, lines: DataFrame, least: int) ->
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, whole, _, begin, end, data in hashed_lines(batch.column(0), least):
-                different, at = np.unique(whole, return_index=True)
-                texts = [data[begin[k] : end[k]].tobytes().decode() for k in at]
-                yield pa.RecordBatch.from_arrays([pa.array(different), pa.array(texts, pa.string())], ["hash", "text"])
+            for found in hashed_lines(batch.column(0), least, marked=False):
+                different, at = np.unique(found.hash, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(different), pa.array([found.text(k) for k in at], pa.string())], ["hash", "text"])
 
     places = lines.join(_held(wanted), "hash", "left_semi").select(F.col("first.doc_id").alias("at_id"), F.col("first.text_hash").alias("at_hash")).distinct()
     places = stored(places, "line-places")
@@ -202,7 +248,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, lines: DataFrame, least: int) ->
     return stored(found.groupBy("hash").agg(F.min("text").alias("text")), "line-texts")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, lines: DataFrame, similarity: float, least: int) -> DataFrame:
+def _linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,23 +256,24 @@ def _linked(pairs: DataFrame, docs: DataFrame, lines: DataFrame, similarity: flo
             keep = [similar(normalised(x.as_py()), normalised(y.as_py()), similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    if pairs.isEmpty():
-        return pairs.select("a", "b")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct(), "line-ends")
-    texts = _texts(docs, wanted, lines, least)
     left, right = texts.select(F.col("hash").alias("a"), F.col("text").alias("x")), texts.select(F.col("hash").alias("b"), F.col("text").alias("y"))
     return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "line-links")
 
 
 def links(docs: DataFrame, lines: DataFrame, least: int = LEAST, similarity: float = SIMILAR) -> DataFrame:
-    """Pairs (a, b) of line hashes that hold the groups together. ``lines``: hash, sim, first; one row per hash.
+    """Pairs (a, b) of line hashes that hold the groups together. ``lines``: hash, sim, letters, blocks, first; one row per hash.
 
     First each line is compared with its nearest pivot, then with other pivots that are not in its component
     yet. What is left in a region outside its pivot's component is compared with all its lines of other components.
     """
 
+    def close(x: str, y: str) -> Column:
+        """Whether two lines (structs of sim, letters) have to be verified."""
+        shorter, longer = F.least(f"{x}.letters", f"{y}.letters"), F.greatest(f"{x}.letters", f"{y}.letters")
+        return (apart(x, y) <= WIDE) & (shorter >= longer * F.lit(similarity))
+
     def apart(x: str, y: str) -> Column:
-        return F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
+        return F.bit_count(F.col(f"{x}.sim").bitwiseXOR(F.col(f"{y}.sim")))
 
     def rooted(df: DataFrame, groups: DataFrame, *names: str) -> DataFrame:
         for name in names:
@@ -234,30 +281,32 @@ def links(docs: DataFrame, lines: DataFrame, least: int = LEAST, similarity: flo
             df = df.join(_held(to), name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
         return df
 
-    entries = lines.select(F.explode_outer(keys(F.col("sim"), blocks_for(lines.count()))).alias("key"), "hash", "sim")
+    blocks = F.concat("blocks", keys(F.col("sim"), blocks_for(lines.count())))
+    entries = lines.select(F.explode(blocks).alias("key"), "hash")
+    # Most keys have one line: only keys and counts travel to find the others.
+    several = stored(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "line-keys")
+    shared = stored(entries.join(_held(several), "key"), "line-entries")
+    wanted = stored(shared.select("hash").distinct(), "line-ends")
+    marks = stored(lines.join(_held(wanted), "hash", "left_semi").select("hash", F.struct("sim", "letters").alias("mark")), "line-marks")
+    texts = _texts(docs, wanted, lines, least)
     # The order of the lines differs from key to key, so that a group of like lines has pivots all over.
-    mixed = F.col("hash").bitwiseXOR(F.col("key"))
-    several = entries.groupBy("key").agg(F.min(mixed).alias("low"), F.max(mixed).alias("high"), F.count("*").alias("n")).where("low <> high")
-    pivots = several.select("key", F.col("low").bitwiseXOR(F.col("key")).alias("pivot"), "n")
-    hubs = lines.select(F.col("hash").alias("pivot"), F.col("sim").alias("pivot_sim"))
-    pivots = stored(pivots.join(hubs, "pivot"), "line-pivots")
-    # By shuffle at every size: the pivots are about as many as the lines.
-    regions = stored(entries.join(pivots, "key").withColumn("d", apart("sim", "pivot_sim")), "line-regions")
-    near = regions.where(f"hash <> pivot and d <= {BITS}").groupBy(F.col("pivot").alias("a"), F.col("hash").alias("b")).agg(F.min("d").alias("d"))
-    spokes = stored(near, "line-spokes")
+    pivots = shared.groupBy("key").agg(F.min(F.col("hash").bitwiseXOR(F.col("key"))).alias("low")).select("key", F.col("low").bitwiseXOR(F.col("key")).alias("pivot"))
+    pivots = stored(pivots.join(_held(marks.select(F.col("hash").alias("pivot"), F.col("mark").alias("pivot_mark"))), "pivot"), "line-pivots")
+    regions = stored(shared.join(_held(marks), "hash").join(_held(pivots), "key"), "line-regions")
+    near = regions.where((F.col("hash") != F.col("pivot")) & close("mark", "pivot_mark"))
+    spokes = stored(near.groupBy(F.col("pivot").alias("a"), F.col("hash").alias("b")).agg(F.min(apart("mark", "pivot_mark")).alias("d")), "line-spokes")
     nearest = spokes.groupBy("b").agg(F.min(F.struct("d", "a")).alias("to")).select(F.col("to.a").alias("a"), "b")
-    first = _linked(stored(nearest, "line-pairs"), docs, lines, similarity, least)
+    first = _linked(stored(nearest, "line-pairs"), texts, similarity)
     other = rooted(spokes.select("a", "b"), components(first), "a", "b").where("root_a <> root_b").select("a", "b")
-    second = first.unionByName(_linked(stored(other.join(nearest, ["a", "b"], "left_anti"), "line-pairs"), docs, lines, similarity, least))
+    second = first.unionByName(_linked(stored(other.join(nearest, ["a", "b"], "left_anti"), "line-pairs"), texts, similarity))
     # A region of two is settled by its pivot.
-    members = rooted(regions.where("n > 2").select("key", "pivot", "hash", "sim", "d"), components(second), "hash", "pivot")
-    out = stored(members.where("root_hash <> root_pivot").select("key", F.col("hash").alias("a"), F.col("sim").alias("sim_a"), F.col("d").alias("d_a"), F.col("root_hash").alias("root_a")), "line-outer")
+    members = rooted(regions.where("n > 2").select("key", "pivot", "hash", "mark"), components(second), "hash", "pivot")
+    out = stored(members.where("root_hash <> root_pivot").select("key", F.col("hash").alias("a"), F.col("mark").alias("mark_a"), F.col("root_hash").alias("root_a")), "line-outer")
     within = members.join(_held(stored(out.select("key").distinct(), "line-keys")), "key", "left_semi")
-    within = within.select("key", F.col("hash").alias("b"), F.col("sim").alias("sim_b"), F.col("d").alias("d_b"), F.col("root_hash").alias("root_b"))
-    close = (F.col("root_a") != F.col("root_b")) & (F.abs(F.col("d_a") - F.col("d_b")) <= BITS) & (apart("sim_a", "sim_b") <= BITS)
-    rest = out.join(within, "key").where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    within = within.where("hash <> pivot").select("key", F.col("hash").alias("b"), F.col("mark").alias("mark_b"), F.col("root_hash").alias("root_b"))
+    rest = out.join(within, "key").where((F.col("root_a") != F.col("root_b")) & close("mark_a", "mark_b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    third = _linked(stored(rest.join(known, ["a", "b"], "left_anti"), "line-pairs"), docs, lines, similarity, least)
+    third = _linked(stored(rest.join(known, ["a", "b"], "left_anti"), "line-pairs"), texts, similarity)
     return second.unionByName(third)
 
 
@@ -265,7 +314,7 @@ def dropped(docs: DataFrame, least: int = LEAST, similarity: float = SIMILAR) ->
     """doc_id, text_hash, lines: the numbers of the lines that are not the kept occurrence of their group."""
     found = stored(occurrences(docs, least), "line-occurrences")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
-    lines = stored(found.groupBy("hash").agg(F.first("sim").alias("sim"), F.min(place).alias("first"), F.count("*").alias("n")), "lines")
+    lines = stored(found.groupBy("hash").agg(*(F.first(x).alias(x) for x in ("sim", "letters", "blocks")), F.min(place).alias("first"), F.count("*").alias("n")), "lines")
     groups = components(links(docs, lines, least, similarity))
     rooted = lines.join(groups, lines["hash"] == groups["id"])
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))

@@ -170,7 +170,7 @@ def test_line_dedup_in_scripts_without_spaces(spark):
     short, hangul = repeated[0][:19], "가나다라마바사아자차카타파하가나다라마바사아 가나"
     docs = [(1, "\n".join([*repeated, long, short, hangul])), (2, "\n".join(["새", *reversed(repeated), short, hangul])), (3, f"{long[:-1]}一\n{repeated[1][:-2]}ゟゟ。")]
     found = {r["doc_id"]: r["dropped"] for r in lines.report(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
-    assert found == {1: "", 2: ",".join(str(k + 1) for k in range(len(scripts))), 3: "0"}
+    assert found == {1: "", 2: ",".join(str(k + 1) for k in range(len(scripts))), 3: "0,1"}
     names = [lines.normalised(x) for x in (*repeated, long)]
     sims, blocks = lines._marks_of_letters(names)
     for k, n in enumerate(names):
@@ -198,7 +198,7 @@ def test_line_recall_against_edit_similarity_alone(spark):
     size = np.array([len(n) for n in names])
     letters = np.array([np.bincount(np.frombuffer(n.encode("utf-32-le"), np.uint32) % 40, minlength=40) for n in names])
     truth = found = 0
-    for a in random.Random(5).sample(range(len(names)), 300):
+    for a in random.Random(5).sample(range(len(names)), 1200):
         b = np.flatnonzero(np.minimum(size[a], size) >= lines.SIMILAR * np.maximum(size[a], size))
         more = letters[b] - letters[a]
         edits = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))  # no fewer are needed

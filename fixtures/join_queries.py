@@ -81,7 +81,8 @@ def asof_ns(spark, sf_dir):
     left = events.select("t_id", "cc_num", "ts", "amount")
     right = events.select("cc_num", "ts", "t_id", "amount", "channel")
     return asof_join(
-        left, right, ["cc_num"], ["cc_num"], "ts", "ts", ["t_id"], namespace="prev_", allow_exact=False
+        left, right, ["cc_num"], ["cc_num"], "ts", "ts", ["t_id"],
+        names={"t_id": "prev_t_id", "amount": "prev_amount", "channel": "prev_channel"}, allow_exact=False
     )
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from fixtures.history_queries import CARD_SNAPSHOT_COLUMNS, card_states, latest_sql
 from fixtures.quality_queries import RAW_SQL, gate_inputs
 from fixtures.registry import query
-from fixtures.views import labels, tx, tx_geo, with_tx
+from fixtures.views import LABELS_SQL, labels, tx, tx_geo, with_tx
 from tidemark.contracts import LABELS_RAW, TRANSACTIONS_RAW
 from tidemark.functions.scalars import ipv4_number, ipv4_text, money
 from tidemark.functions.times import iso_text, parse_ts
 from tidemark.operators.events import order_inversions, run_id_of, sorted_by_time
-from tidemark.plans import silver
+from tidemark.operators.quality import GateError
+from tidemark.plans import bronze, silver
 from tidemark.session import shared_dir
 from tidemark.sources.jsonl import read_jsonl, typed, write_jsonl
 from tidemark.sources.lake import Lake, check_published, latest_versions, versions_of_run
@@ -50,6 +51,42 @@ def roundtrip_json(spark, sf_dir):
     return read_jsonl(spark, path, documents.schema).rows
 
 
+@query(
+    "ingest_gate",
+    with_tx(
+        "select 'transactions' as dataset, count_if(t_id % 50 <> 0) as n_rows, count_if(t_id % 50 = 0) as n_rejects, "
+        "'transactions: ' || count_if(t_id % 50 = 0) || ' unreadable lines' as gate from tx union all "
+        "select 'fraud_labels', count(*), 0, null from lab",
+        LABELS_SQL,
+    ),
+)
+def ingest_gate(spark, sf_dir):
+    """A delivery in which some amounts are written as text: refused by the gate, and landed with rejects without it."""
+    path = shared_dir(spark, "landing")
+    as_text = {c: F.col(c).cast("string") for c in TEXT_COLUMNS}
+    raw = tx_geo(spark, sf_dir).withColumns({**as_text, "ts": iso_text(F.col("ts"))}).select(*TRANSACTIONS_RAW.names)
+    others = [c for c in raw.columns if c != "amount"]
+    as_text_too = F.to_json(F.struct(*others, F.col("amount").cast("string").alias("amount")))
+    raw.select(F.when(F.col("t_id") % 50 == 0, as_text_too).otherwise(F.to_json(F.struct(*raw.columns)))).write.text(f"{path}/tx")
+    known = labels(spark, sf_dir).withColumns({"t_id": F.col("t_id").cast("string"), "cc_num": F.col("cc_num").cast("string"), "ts": iso_text(F.col("ts"))})
+    write_jsonl(known.select(*LABELS_RAW.names), f"{path}/labels")
+    landing = bronze.Landing(f"{path}/tx", f"{path}/labels", "", "", "")
+    lake = Lake(spark, f"{path}/lake")
+    verdict = None
+    try:
+        bronze.ingest(lake, landing, "2024-01-30", "gated")
+    except GateError as error:
+        verdict = str(error)
+    bronze.ingest(lake, landing, "2024-01-30", "open", gate=False)
+    parts = []
+    for name, gate in (("transactions", verdict), ("fraud_labels", None)):
+        n_rows = lake.read(f"bronze/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+        n_rejects = lake.read(f"rejects/{name}").agg(F.count(F.lit(1)).alias("n_rejects"))
+        columns = [F.lit(name).alias("dataset"), "n_rows", "n_rejects", F.lit(gate).cast("string").alias("gate")]
+        parts.append(n_rows.join(n_rejects, F.lit(True)).select(*columns))
+    return parts[0].unionByName(parts[1])
+
+
 DAY_SQL = "strftime(ts, '%Y-%m-%d')"
 
 

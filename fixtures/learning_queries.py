@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Imputer
 from pyspark.sql import functions as F
 
 from fixtures.history_queries import card_states, merchant_states
 from fixtures.registry import ORACLES, query
 from fixtures.views import labels, table, tx, tx_geo, with_tx
 from tidemark.operators import metrics, prepare
-from tidemark.operators.model import TrainConfig, limit_rows, train
+from tidemark.operators.model import TrainConfig, TrainedModel, build_pipeline, limit_rows, linear_score, optimum_gap, run_record, train
 from tidemark.operators.ordered import TilePolicy
 from tidemark.plans import silver, training
 from tidemark.session import shared_dir
-from tidemark.sources.lake import Lake
+from tidemark.sources.lake import Lake, latest_versions
 
 GAPPY_SQL = """
 gappy as (select t_id, case when event_type <> 'view' then amount end as amount,
@@ -179,6 +181,87 @@ def avg_precision(spark, sf_dir):
     return metrics.average_precision(_scored(spark, sf_dir)).select(F.round("pr_auc", 6).alias("pr_auc"))
 
 
+HASHED, BUCKETS = ["channel", "merchant_id", "category", "event_type"], 64
+
+
+def _digest(name: str, value: str) -> str:
+    return f"cast('0x' || substr(md5('{name}=' || cast({value} as varchar)), 1, 15) as bigint)"
+
+
+@query(
+    "hashed_features",
+    with_tx(
+        "select t_id, cast((h >> 1) % 64 as integer) as bucket, cast(sum(case when h % 2 = 0 then 1 else -1 end) as integer) as value "
+        "from entries where h is not null group by 1, 2 having sum(case when h % 2 = 0 then 1 else -1 end) <> 0",
+        "entries as (" + " union all ".join(f"select t_id, {_digest(c, c)} as h from tx" for c in HASHED) + ")",
+    ),
+)
+def hashed_features(spark, sf_dir):
+    return prepare.hashed_features(tx(spark, sf_dir), ["t_id"], HASHED, BUCKETS)
+
+
+WEIGHTS = {"l_quantity": -0.05, "l_discount": 12.5, "l_tax": -3.0, "l_extendedprice": 0.00001}
+
+
+@query(
+    "score_fixed",
+    "select l_orderkey, l_linenumber, round(1 / (1 + exp(-(0.25"
+    + "".join(f" + {w} * coalesce(cast({c} as double), 0)" for c, w in WEIGHTS.items())
+    + "))), 6) as score from lineitem",
+)
+def score_fixed(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(linear_score(WEIGHTS, 0.25), 6).alias("score"))
+
+
+@query(
+    "fit_optimum",
+    with_tx(
+        "select 4 + count(distinct channel) + (select max(" + _digest("merchant_id", "merchant_id") + " % 16) + 1 from tx) + 1 as n_coefficients, "
+        "cast(0 as double) as gradient from tx"
+    ),
+)
+def fit_optimum(spark, sf_dir):
+    """The largest slope of the loss at the fitted weights: 0 to four places. Merchants are hashed, channels have a column each."""
+    path = shared_dir(spark, "fit")
+    inputs = ["amount", "lat", "lon", "card_present", "channel", F.col("merchant_id").cast("string").alias("merchant_id")]
+    tx(spark, sf_dir).select("t_id", "label_is_fraud", *inputs).write.parquet(path)
+    cfg = TrainConfig(exclude=(), tol=1e-10, max_categories=3, hash_buckets=16)
+    fit_on = prepare.with_class_weight(spark.read.parquet(path), cfg.label)
+    pipeline, _ = build_pipeline(fit_on, cfg)
+    found = optimum_gap(pipeline.fit(fit_on), fit_on, cfg)
+    return found.agg(F.count("*").alias("n_coefficients"), F.round(F.max(F.abs("gradient")), 4).alias("gradient"))
+
+
+@query(
+    "run_record",
+    "select 'r1' as run_id, n_rows, n_pos, roc_auc, pr_auc, '0.2' as test_share from "
+    f"({with_tx('select count(*) as n_rows, cast(sum(label_is_fraud) as bigint) as n_pos from tx')}), ({ORACLES['roc_auc']}), ({ORACLES['avg_precision']})",
+)
+def recorded(spark, sf_dir):
+    """The record of a run over given scores, published and read back."""
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    record = run_record(tx(spark, sf_dir), TrainedModel(None, _scored(spark, sf_dir), (), 0), TrainConfig(), "r1")
+    lake.publish(record, "runs", "2024-01-30", "r1")
+    rounded = [F.round(c, 6).alias(c) for c in ("roc_auc", "pr_auc")]
+    return lake.read("runs").select("run_id", "n_rows", "n_pos", *rounded, F.col("params")["test_share"].alias("test_share"))
+
+
+@query(
+    "model_alias",
+    with_tx("select 'models/imputer@current' as dataset, 'models/imputer/dt=' || max(strftime(ts, '%Y-%m-%d')) || '/run_id=r1' as prefix from tx"),
+)
+def model_alias(spark, sf_dir):
+    """An alias moved from the model of the first day to that of the last."""
+    events = tx(spark, sf_dir)
+    first, last = events.agg(F.date_format(F.min("ts"), "yyyy-MM-dd"), F.date_format(F.max("ts"), "yyyy-MM-dd")).first()
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    for day in (first, last):
+        before = events.filter(F.date_format("ts", "yyyy-MM-dd") <= day).select(F.col("amount").cast("double").alias("amount"))
+        lake.save_model(Pipeline(stages=[Imputer(inputCol="amount", outputCol="filled")]).fit(before), "imputer", day, "r1")
+        lake.set_alias("imputer", "current", day, "r1")
+    return latest_versions(lake.manifest().filter("kind = 'alias'"), ["dataset"]).select("dataset", "prefix")
+
+
 @query("fit_score")
 def fit_score(spark, sf_dir):
     """Held-out scores of the baseline model on the point-in-time training set."""

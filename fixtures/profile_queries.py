@@ -192,3 +192,35 @@ def drop_null_label(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id")
     marked = docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left")
     return drop_unlabelled(marked, "toxic")
+
+
+@query("distinct_sketch", "select event_type, count(*) as n_rows, true as users_within, true as values_within from events group by 1")
+def distinct_sketch(spark, sf_dir):
+    """Distinct counts per event type from sketches stored per day, held against exact counts: within 5 %."""
+    events = table(spark, sf_dir, "events")
+    path = shared_dir(spark, "sketches")
+    profile.sketches(events.withColumn("day", F.to_date("ts")), ["day", "event_type"], ["user_id", "event_id"]).write.parquet(path)
+    merged = profile.merge_sketches(spark.read.parquet(path), ["event_type"])
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.count_distinct("event_id").alias("ids"))
+    near = lambda column, n: F.abs(profile.distinct_estimate(column) - F.col(n)) <= 0.05 * F.col(n)
+    both = merged.join(exact, merged["event_type"].eqNullSafe(exact["event_type"])).drop(exact["event_type"])
+    return both.select("event_type", "n_rows", near("user_id", "users").alias("users_within"), near("event_id", "ids").alias("values_within"))
+
+
+@query(
+    "percentile_rank_error",
+    "select l_returnflag, count(*) as n_rows, true as p50_within, true as p90_within, true as p99_within from lineitem group by 1",
+)
+def percentile_rank_error(spark, sf_dir):
+    """Percentiles per return flag from sketches stored per ship mode: the rank of each, counted exactly, is within 0.5 % of the rows."""
+    items = table(spark, sf_dir, "lineitem")
+    path = shared_dir(spark, "sketches")
+    profile.sketches(items, ["l_returnflag", "l_shipmode"], numeric=["l_extendedprice"]).write.parquet(path)
+    shares = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    merged = profile.merge_sketches(spark.read.parquet(path), ["l_returnflag"])
+    found = merged.select("l_returnflag", *(profile.quantile_estimate("l_extendedprice", p).alias(n) for n, p in shares.items()))
+    value = F.col("l_extendedprice").cast("double")
+    counts = [c for n in shares for c in (F.count_if(value < F.col(n)).alias(f"below_{n}"), F.count_if(value <= F.col(n)).alias(f"upto_{n}"))]
+    ranked = items.join(found, "l_returnflag").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), *counts)
+    within = lambda n, p: (F.col(f"below_{n}") <= (p + 0.005) * F.col("n_rows")) & (F.col(f"upto_{n}") >= (p - 0.005) * F.col("n_rows"))
+    return ranked.select("l_returnflag", "n_rows", *(within(n, p).alias(f"{n}_within") for n, p in shares.items()))

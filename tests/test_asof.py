@@ -81,13 +81,19 @@ def test_duplicate_left_rows_stay_and_can_be_ranked(spark):
     assert {r.lid: r.v for r in best.collect()} == {1: "y", 2: None}
 
 
-def test_namespaces(spark):
+def test_names_of_output_columns(spark):
     left = spark.createDataFrame([(1, "a", at(4))], LEFT)
     right = spark.createDataFrame([("a", at(2), 7, "x")], "k string, t timestamp_ntz, lid long, m_v string")
     with pytest.raises(ContractError, match="lid"):
         asof_join(left, right, ["k"], ["k"], "t", "t")
-    both = asof_join_all(left, [FeatureTable(right, ("k",), "t", "m_", ("lid",))], "t")
-    assert both.columns == ["lid", "k", "t", "m_v"] and both.first().m_v == "x"
+    both = asof_join_all(left, [FeatureTable(right, ("k",), "t", {"m_v": "merchant_v"}, ("lid",))], "t")
+    assert both.columns == ["lid", "k", "t", "merchant_v"] and both.first().merchant_v == "x"
+    with pytest.raises(ContractError, match="not carry"):
+        asof_join(left, right, ["k"], ["k"], "t", "t", names={"other": "o"})
+    with pytest.raises(ContractError, match="repeat columns ..k"):
+        asof_join(left, right, ["k"], ["k"], "t", "t", names={"lid": "rid", "m_v": "k"})
+    with pytest.raises(ContractError, match="repeat columns ..at"):
+        asof_join(left, right, ["k"], ["k"], "t", "t", names={"lid": "at"}, matched_ts="at")
 
 
 def test_no_pairs_are_formed(spark, tmp_path):

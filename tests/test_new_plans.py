@@ -23,7 +23,7 @@ def test_band_equals_sorted_pass(spark):
     right = spark.createDataFrame([(i, key(), when(), i * 10 if i % 7 else None) for i in range(150)], "rid int, k string, rts timestamp_ntz, v int")
     for exact in (True, False):
         args = (left, right, ["k"], ["k"], "ts", "rts")
-        more = dict(namespace="r_", allow_exact=exact, matched_ts="at")
+        more = dict(names={"rid": "r_rid", "v": "r_v"}, allow_exact=exact, matched_ts="at")
         found = asof_band(*args, ["id"], 100, ["rid"], **more)
         assert rows(found) == rows(asof_join(*args, ["rid"], ttl_seconds=100, **more))
     assert asof_band(left, right.limit(0), ["k"], ["k"], "ts", "rts", ["id"], 100).count() == 150

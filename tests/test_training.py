@@ -1,3 +1,4 @@
+import hashlib
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -8,11 +9,11 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark.contracts import ContractError
 from tidemark.operators import prepare
-from tidemark.operators.model import TrainConfig, build_pipeline, limit_rows, score, train
+from tidemark.operators.model import TrainConfig, build_pipeline, limit_rows, optimum_gap, score, train
 from tidemark.operators.ordered import TilePolicy
 from tidemark.plans import bronze, silver, training
 from tidemark.sources.jsonl import write_jsonl
-from tidemark.sources.lake import Lake
+from tidemark.sources.lake import Lake, NotPublished
 
 
 def separable(spark, n=400):
@@ -82,8 +83,9 @@ def test_guards(spark):
     tiny = prepare.hash_split(spark.range(50_000), "id", 0.4, fine=True)
     assert 100 < tiny.filter("is_test").count() < 300
     wide = df.withColumn("who", F.col("t_id").cast("string")).withColumn("weight", F.lit(1.0))
-    with pytest.raises(ContractError, match="who"):
-        build_pipeline(wide, TrainConfig(max_categories=5))
+    hashed = build_pipeline(wide, TrainConfig(max_categories=5, hash_buckets=8, max_iter=5))[0].fit(wide)
+    unseen = hashed.transform(wide.limit(3).withColumn("who", F.lit(None).cast("string")))
+    assert unseen.first()["hot_who"].size <= 8 and score(hashed, wide, "t_id").count() == 50
     with pytest.raises(ContractError, match="label_is_fraud"):
         train(df.drop("label_is_fraud"))
 
@@ -128,3 +130,52 @@ def test_landing_to_model(spark, tmp_path):
     with pytest.raises(Exception, match="tx_merchant: 40"):
         bronze.ingest(lake, landing, "2026-01-06", "run:1")
     assert lake.manifest().filter("dt = '2026-01-06'").count() == 0
+
+
+def test_gate_reads_text_once(spark, tmp_path):
+    """Text amounts are rejects, and every line is parsed once, whatever follows."""
+    lines = ['{"t_id": "1", "amount": "5.00"}', '{"t_id": "2", "amount": 5}', '{"t_id": "3", "amount": null, "note": "\\"amount\\": \\"7\\""}', "{", ""]
+    (tmp_path / "tx").write_text("\n".join(lines))
+    (tmp_path / "labels").write_text('{"t_id": "2"}')
+    (tmp_path / "none").write_text("")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    landing = bronze.Landing(*(str(tmp_path / n) for n in ("tx", "labels", "none", "none", "none")))
+    with pytest.raises(bronze.GateError, match="transactions: 2 unreadable"):
+        bronze.ingest(lake, landing, "2026-01-01", "r1")
+    bronze.ingest(lake, landing, "2026-01-01", "r2", gate=False)
+    assert {r.t_id for r in lake.read("bronze/transactions").collect()} == {"2", "3"}
+    assert {r.line for r in lake.read("rejects/transactions").collect()} == {lines[0], "{"}
+    part = bronze._judge(lake, "transactions", landing.tx, bronze.TRANSACTIONS_RAW, "2026-01-01", "r3")[0]
+    for df in part.rows, part.rejects:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and "parquet" in plan.lower()
+    with pytest.raises(NotPublished):
+        bronze.ingest(lake, bronze.Landing(landing.tx, *[str(tmp_path / "none")] * 4), "2026-01-02", "r1", gate=False)
+    assert lake.manifest().filter("dt = '2026-01-02'").count() == 0
+
+
+def test_hashed_features_cancel(spark):
+    df = spark.createDataFrame([(1, "a", "b", None), (2, None, None, None), (3, "a", "a", "c")], "i int, x string, y string, z string")
+    for buckets in (1, 2, 1000):
+        want = {}
+        for i, *values in df.collect():
+            for c, v in zip("xyz", values):
+                if v is not None:
+                    h = int(hashlib.md5(f"{c}={v}".encode()).hexdigest()[:15], 16)
+                    want[i, (h >> 1) % buckets] = want.get((i, (h >> 1) % buckets), 0) + (1 if h % 2 == 0 else -1)
+        got = {(r.i, r.bucket): r.value for r in prepare.hashed_features(df, ["i"], ["x", "y", "z"], buckets).collect()}
+        assert got == {k: v for k, v in want.items() if v}
+    with pytest.raises(ContractError, match="bucket"):
+        prepare.hashed_features(df, ["i"], ["x"], 0)
+
+
+def test_optimum_gap_sees_a_fit_that_is_not_one(spark):
+    df = prepare.with_class_weight(separable(spark), "label_is_fraud")
+    gaps = {}
+    for steps in (1, 200):
+        cfg = TrainConfig(max_iter=steps, tol=1e-12, c=0.1)
+        model = build_pipeline(df, cfg)[0].fit(df)
+        found = optimum_gap(model, df, cfg).collect()
+        assert sorted(r.position for r in found) == list(range(5))
+        gaps[steps] = max(abs(r.gradient) for r in found)
+    assert gaps[200] < 1e-5 < 1e-3 < gaps[1]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections import Counter
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,9 +17,23 @@ from tidemark.operators.tiles import DEFAULT_POLICY, HELPERS, TILE, SkewPolicy,
 _NULL_KEY_SPREAD = 4096
 
 
-def namespaced(columns: Sequence[str], namespace: str) -> dict[str, str]:
-    """Right column -> output name. A name that carries the namespace keeps its form."""
-    return {name: namespace + name.removeprefix(namespace) for name in columns}
+def output_names(
+    left: DataFrame, carried: Sequence[str], names: Mapping[str, str] | None, matched_ts: str | None
+) -> dict[str, str]:
+    """Right column -> output column: what ``names`` says, its own name otherwise.
+
+    Refused are names for columns that the right side does not carry, and an output column that would stand there twice.
+    """
+    names = dict(names or {})
+    unknown = sorted(set(names) - set(carried))
+    if unknown:
+        raise ContractError(f"names for columns {unknown}, which the right side does not carry; it carries {sorted(carried)}")
+    out = {c: names.get(c, c) for c in carried}
+    taken = Counter([*left.columns, *out.values(), *([matched_ts] if matched_ts else [])])
+    repeated = sorted(c for c, n in taken.items() if n > 1)
+    if repeated:
+        raise ContractError(f"as-of join would repeat columns {repeated}; give them other names")
+    return out
 
 
 def asof_join(
@@ -29,7 +44,7 @@ def asof_join(
     left_ts: str,
     right_ts: str,
     right_id: Sequence[str] = (),
-    namespace: str = "",
+    names: Mapping[str, str] | None = None,
     ttl_seconds: int | None = None,
     allow_exact: bool = True,
     matched_ts: str | None = None,
@@ -37,7 +52,7 @@ def asof_join(
 ) -> DataFrame:
     """Left rows, all of them and once each, with the columns of their newest earlier right row.
 
-    ``allow_exact`` admits a right row of the same instant. Right rows of one instant are ordered by
+    ``names`` gives right columns other names in the output. ``allow_exact`` admits a right row of the same instant. Right rows of one instant are ordered by
     ``right_id`` and the largest wins. With ``ttl_seconds``, an older match counts as none.
 
     Both sides are stacked and sorted by time within the key, and the last right row seen is carried
@@ -47,11 +62,7 @@ def asof_join(
     require(left, [*left_keys, left_ts], "left side")
     require(right, [*right_keys, right_ts, *right_id], "right side")
     carried = [c for c in right.columns if c not in {*right_keys, right_ts}]
-    names = namespaced(carried, namespace)
-    added = [*names.values(), *([matched_ts] if matched_ts else [])]
-    clash = sorted({c for k, c in enumerate(added) if c in left.columns or c in added[:k]})
-    if clash:
-        raise ContractError(f"as-of join would repeat columns {clash}; use a namespace")
+    out_names = output_names(left, carried, names, matched_ts)
 
     keys = [f"__k{i}" for i in range(len(left_keys))]
     ids = [f"__i{i}" for i in range(len(right_id))]
@@ -98,7 +109,7 @@ def asof_join(
     return found.select(
         "__row.*",
         *([F.col("__found.__ts").alias(matched_ts)] if matched_ts else []),
-        *(F.col(f"__found.{c}").alias(names[c]) for c in carried),
+        *(F.col(f"__found.{c}").alias(out_names[c]) for c in carried),
     )
 
 
@@ -112,7 +123,7 @@ def asof_band(
     left_id: Sequence[str],
     ttl_seconds: int,
     right_id: Sequence[str] = (),
-    namespace: str = "",
+    names: Mapping[str, str] | None = None,
     allow_exact: bool = True,
     matched_ts: str | None = None,
 ) -> DataFrame:
@@ -129,11 +140,7 @@ def asof_band(
     if ttl_seconds <= 0:
         raise ContractError("a band needs an age above 0")
     carried = [c for c in right.columns if c not in {*right_keys, right_ts}]
-    names = namespaced(carried, namespace)
-    added = [*names.values(), *([matched_ts] if matched_ts else [])]
-    clash = sorted({c for k, c in enumerate(added) if c in left.columns or c in added[:k]})
-    if clash:
-        raise ContractError(f"as-of join would repeat columns {clash}; use a namespace")
+    out_names = output_names(left, carried, names, matched_ts)
 
     keys = [f"__k{i}" for i in range(len(left_keys))]
     bucket = lambda ts: F.floor(epoch_seconds(F.col(ts)) / F.lit(ttl_seconds))
@@ -158,7 +165,7 @@ def asof_band(
     return out.select(
         *left.columns,
         *([F.col("__found.__ts").alias(matched_ts)] if matched_ts else []),
-        *(F.col(f"__found.{c}").alias(names[c]) for c in carried),
+        *(F.col(f"__found.{c}").alias(out_names[c]) for c in carried),
     )
 
 
@@ -180,7 +187,7 @@ class FeatureTable:
     df: DataFrame
     keys: tuple[str, ...]
     ts: str
-    namespace: str
+    names: Mapping[str, str] = field(default_factory=dict)
     id: tuple[str, ...] = ()
     ttl_seconds: int | None = None
 
@@ -194,9 +201,9 @@ def asof_join_all(
         ids = [f"__tie_{c}" for c in table.id]
         right = table.df.withColumnsRenamed(dict(zip(table.id, ids)))
         base = asof_join(
-            base, right, table.keys, table.keys, ts, table.ts, ids, table.namespace,
+            base, right, table.keys, table.keys, ts, table.ts, ids, table.names,
             table.ttl_seconds, policy=policy,
-        ).drop(*namespaced(ids, table.namespace).values())
+        ).drop(*ids)
     return base
 
 

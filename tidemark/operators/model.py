@@ -5,17 +5,18 @@ Imputation, scaling and encoding are stages of the saved model, so scoring appli
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, fields
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contracts import ContractError, require, split_by_type
+from tidemark.contracts import require, split_by_type
 from tidemark.operators.events import drop_unlabelled
 from tidemark.operators.metrics import average_precision, roc_auc, run_summary
 from tidemark.operators.prepare import (
@@ -41,7 +42,9 @@ class TrainConfig:
     c: float = 1.0
     max_iter: int = 500
     tol: float = 1e-4
+    # Columns with more values than this are hashed into ``hash_buckets`` columns instead of having a column per value.
     max_categories: int = 1000
+    hash_buckets: int = 4096
     # Rows used to fit at most, shared out among the classes by size; held-out rows are all scored.
     fit_rows: int | None = None
     provenance: dict[str, str] = field(default_factory=dict, hash=False)
@@ -70,8 +73,10 @@ def _quoted(name: str) -> str:
     return f"`{name}`"
 
 
-def _preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> SQLTransformer:
-    """Impute and scale as one SQL projection with the learned numbers in it."""
+def _preparation(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], wide: Sequence[str] = (), buckets: int = 1
+) -> SQLTransformer:
+    """Impute, scale and hash as one SQL projection with the learned numbers in it."""
     train = train.withColumns({c: F.col(c).cast("double") for c in numeric})
     middle = {c: m if m is not None else 0.0 for c, m in medians(train, numeric).items()}
     filled = train.withColumns({c: F.coalesce(F.col(c), F.lit(middle[c])) for c in numeric})
@@ -85,6 +90,10 @@ def _preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence
     for c in categorical:
         mode = str(modes[c] if modes[c] is not None else "").replace("\\", "\\\\").replace("'", "\\'")
         columns.append(f"coalesce({_quoted(c)}, '{mode}') AS {_quoted('cat_' + c)}")
+    for c in wide:
+        # The hash of prepare.category_hash; a NULL is a value of its own here, as it has no mode to stand for it.
+        digest = f"substr(md5(concat('{c}=', coalesce({_quoted(c)}, ''))), 1, 15)"
+        columns.append(f"cast(pmod(cast(conv({digest}, 16, 10) as bigint), {buckets}L) as double) AS {_quoted('idx_' + c)}")
     return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
 
 
@@ -92,12 +101,17 @@ def build_pipeline(train: DataFrame, cfg: TrainConfig) -> tuple[Pipeline, tuple[
     numeric, categorical = split_by_type(
         train.drop("weight", "is_test"), {*cfg.exclude, cfg.label, cfg.row_id}
     )
+    every = (*numeric, *categorical)
+    wide = []
     if categorical:
         sizes = train.agg(*(F.approx_count_distinct(c).alias(c) for c in categorical)).first()
         wide = [c for c in categorical if sizes[c] > cfg.max_categories]
-        if wide:
-            raise ContractError(f"too many categories to one-hot in {wide}: exclude or hash them")
-    stages = [_preparation(train, numeric, categorical)]
+        categorical = [c for c in categorical if c not in wide]
+    stages = [_preparation(train, numeric, categorical, wide, cfg.hash_buckets)]
+    if wide:
+        # Each column has buckets of its own. A bucket beyond the fitted ones was never seen and is all zeros.
+        hashed = dict(inputCols=[f"idx_{c}" for c in wide], outputCols=[f"hot_{c}" for c in wide])
+        stages.append(OneHotEncoder(**hashed, dropLast=True, handleInvalid="keep"))
     if categorical:
         # An unseen value gets the extra last index, which the encoder drops: all zeros.
         stages.append(
@@ -115,7 +129,7 @@ def build_pipeline(train: DataFrame, cfg: TrainConfig) -> tuple[Pipeline, tuple[
                 dropLast=True,
             )
         )
-    parts = [*(f"num_{c}" for c in numeric), *(f"hot_{c}" for c in categorical)]
+    parts = [*(f"num_{c}" for c in numeric), *(f"hot_{c}" for c in categorical), *(f"hot_{c}" for c in wide)]
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     # The penalty ||w||^2 / 2 + C * weighted loss, divided by C and the total weight (= rows).
     regularisation = 1.0 / (cfg.c * max(train.count(), 1))
@@ -131,7 +145,7 @@ def build_pipeline(train: DataFrame, cfg: TrainConfig) -> tuple[Pipeline, tuple[
             standardization=False,
         )
     )
-    return Pipeline(stages=stages), (*numeric, *categorical)
+    return Pipeline(stages=stages), every
 
 
 def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
@@ -139,6 +153,41 @@ def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     return model.transform(df).select(*keep, vector_to_array("probability")[1].alias("score"))
 
 
+def linear_score(weights: Mapping[str, float], intercept: float = 0.0) -> Column:
+    """The logistic score of given weights per numeric column, as an expression: no vectors, no model object. NULL counts as 0."""
+    z = F.lit(float(intercept))
+    for c, w in weights.items():
+        z = z + F.lit(float(w)) * F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def optimum_gap(model: PipelineModel, fit_on: DataFrame, cfg: TrainConfig = TrainConfig()) -> DataFrame:
+    """(position, coefficient, gradient): the slope of the penalised mean loss at the fitted weights, the intercept last.
+
+    All slopes are 0 at the optimum, which a strictly convex loss has once, so this proves a fit right without a second
+    solver. ``fit_on`` holds the rows and weights of the fit. Per class, Spark's summarizer adds up the feature vectors, weighed by how far
+    the probability is off, so one pass with partial sums per task serves vectors of any width.
+    """
+    fitted = model.stages[-1]
+    scored = model.transform(fit_on).select(
+        "features", "weight", F.col(cfg.label).cast("int").alias("y"), vector_to_array("probability")[1].alias("p")
+    )
+    off = F.col("weight") * F.abs(F.col("p") - F.col("y"))
+    sums = Summarizer.metrics("sum").summary(F.col("features"), off)["sum"]
+    per_class = scored.groupBy("y").agg(vector_to_array(sums).alias("sums"), F.sum(off).alias("off"), F.sum("weight").alias("weight"))
+    # Two rows from here on: class 0 pulls with its sums, class 1 against them.
+    pull = F.when(F.col("y") == 0, 1.0).otherwise(-1.0)
+    long = per_class.select("weight", pull.alias("pull"), F.posexplode(F.concat("sums", F.array("off"))).alias("position", "s"))
+    slopes = long.groupBy("position").agg((F.sum(F.col("pull") * F.col("s")) / F.sum("weight")).alias("slope"))
+    spark, penalty = fit_on.sparkSession, fitted.getRegParam()
+    found = [(k, float(b), penalty * float(b)) for k, b in enumerate(fitted.coefficients.toArray())]
+    found.append((len(found), float(fitted.intercept), 0.0))
+    weights = spark.createDataFrame(found, "position int, coefficient double, pulled double")
+    return weights.join(slopes, "position", "left").select(
+        "position", "coefficient", (F.coalesce("slope", F.lit(0.0)) + F.col("pulled")).alias("gradient")
+    )
+
+
 def train(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainedModel:
     """Fit on the training part; ``scored`` has (row id, label, score) of the held-out part."""
     require(df, [cfg.label, cfg.row_id], "training set")

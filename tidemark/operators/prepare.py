@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.contracts import ContractError, require
 from tidemark.operators.ordered import DEFAULT_TILES, TilePolicy, order_statistics
 
 
@@ -132,6 +133,39 @@ def one_hot(df: DataFrame, column: str, vocabulary: Sequence[object]) -> DataFra
     return df.withColumns(hot)
 
 
+def category_hash(column: str, value: Column) -> Column:
+    """60 bits of md5 of column name and value: the same in every run and engine, so nothing is learned or looked up."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{column}="), value.cast("string"))), 1, 15), 16, 10).cast("long")
+
+
+def hashed_features(df: DataFrame, row_id: Sequence[str], columns: Sequence[str], buckets: int) -> DataFrame:
+    """(row id, bucket, value): signed feature hashing of any number of categories into ``buckets`` columns, zeros left out.
+
+    Each value of each column adds 1 or -1, by the lowest bit of its hash, to the bucket of the other bits; values that meet
+    in a bucket cancel on average instead of adding up. A NULL adds nothing. No vocabulary is built, so the width of a column costs
+    nothing; the sums of a row are made within the row, without an exchange.
+    """
+    require(df, [*row_id, *columns], "hashed features")
+    if buckets < 1:
+        raise ContractError("feature hashing needs at least one bucket")
+
+    def entry(c: str) -> Column:
+        h = category_hash(c, F.col(c))
+        sign = F.when(h.bitwiseAND(F.lit(1)) == 0, 1).otherwise(-1)
+        bucket = F.pmod(F.shiftright(h, 1), F.lit(buckets))
+        return F.when(F.col(c).isNotNull(), F.struct(bucket.cast("int").alias("bucket"), sign.alias("value")))
+
+    entries = F.array_compact(F.array(*(entry(c) for c in columns)))
+
+    def total(bucket: Column) -> Column:
+        own = F.filter("__entries", lambda e: e["bucket"] == bucket)
+        return F.struct(bucket.alias("bucket"), F.aggregate(own, F.lit(0), lambda t, e: t + e["value"]).alias("value"))
+
+    sums = F.transform(F.array_distinct(F.col("__entries.bucket")), total)
+    listed = df.select(*row_id, entries.alias("__entries")).select(*row_id, F.inline(sums))
+    return listed.filter("value <> 0")
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, n, weight) with weight = rows / (classes * rows of the class)."""
     sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts import require
@@ -79,6 +79,39 @@ def approximate_percentiles(df: DataFrame, column: str, probabilities: dict[str,
     return df.agg(*(F.percentile_approx(column, p, accuracy).alias(name) for name, p in probabilities.items()))
 
 
+def sketches(
+    df: DataFrame, by: Sequence[str], distinct: Sequence[str] = (), numeric: Sequence[str] = (), lg_k: int = 12, k: int = 1600
+) -> DataFrame:
+    """One row per group with ``n_rows``, a distinct-count sketch per ``distinct`` column and a quantile sketch per ``numeric`` one.
+
+    A sketch has a size bound of its own (about ``2^lg_k`` bytes; a few ``k`` numbers), whatever the group's size, and sketches of
+    parts add up to the sketch of the whole: a day's row is stored once, and months are answered from their days.
+    """
+    require(df, [*by, *distinct, *numeric], "sketches")
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *(F.hll_sketch_agg(c, lg_k).alias(f"distinct_{c}") for c in distinct),
+        *(F.kll_sketch_agg_double(F.col(c).cast("double"), k).alias(f"ranks_{c}") for c in numeric),
+    )
+
+
+def merge_sketches(stored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The stored rows of :func:`sketches` put together per coarser group; the data are not read again."""
+    merged = [F.hll_union_agg(c).alias(c) for c in stored.columns if c.startswith("distinct_") and c not in by]
+    merged += [F.kll_merge_agg_double(c).alias(c) for c in stored.columns if c.startswith("ranks_") and c not in by]
+    return stored.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), *merged)
+
+
+def distinct_estimate(column: str) -> Column:
+    """Distinct values of a sketched column; with ``lg_k`` 12, within 5 % (three standard errors)."""
+    return F.hll_sketch_estimate(f"distinct_{column}")
+
+
+def quantile_estimate(column: str, p: float) -> Column:
+    """A value of the sketched column whose rank is near ``p``; with ``k`` 1600, within 0.5 % of the rows."""
+    return F.kll_sketch_get_quantile_double(F.col(f"ranks_{column}"), F.lit(float(p)))
+
+
 def group_mean(df: DataFrame, group: str, column: str, name: str) -> DataFrame:
     """Mean per group; by label, a feature that knows the label stands out."""
     return df.groupBy(group).agg(F.avg(F.col(column).cast("double")).alias(name)).orderBy(group)

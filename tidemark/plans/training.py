@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contracts import in_namespace
 from tidemark.functions.times import parse_ts
 from tidemark.operators.asof import FeatureTable, asof_join_all
 from tidemark.operators.events import attach_labels
@@ -21,7 +20,9 @@ BASE_COLUMNS = [
     "t_id", "event_ts", "cc_num", "merchant_id", "amount", "country", "category", "channel", "card_present",
     "label_is_fraud",
 ]
-CARD_NAMESPACE, MERCHANT_NAMESPACE = "card_", "m_"
+# Output columns of the features. Those of merchants say so already.
+CARD_NAMES = {c: f"card_{c}" for c in silver.CARD_SNAPSHOT_FEATURES}
+MERCHANT_NAMES = {c: c for c in silver.MERCHANT_SNAPSHOT_FEATURES}
 
 
 def training_set(
@@ -40,12 +41,11 @@ def training_set(
     event_ts = parse_ts(F.col("ts")) if dict(tx.dtypes)["ts"] == "string" else F.col("ts")
     base = attach_labels(tx.drop("label_is_fraud"), labels).withColumn("event_ts", event_ts).select(*BASE_COLUMNS)
     tables = [
-        FeatureTable(card, ("cc_num",), "event_ts", CARD_NAMESPACE, tuple(tie)),
-        FeatureTable(merchant, ("merchant_id",), "event_ts", MERCHANT_NAMESPACE, tuple(tie)),
+        FeatureTable(df.select(key, "event_ts", *tie, *names), (key,), "event_ts", names, tuple(tie))
+        for df, key, names in ((card, "cc_num", CARD_NAMES), (merchant, "merchant_id", MERCHANT_NAMES))
     ]
     out = asof_join_all(base, tables, "event_ts", policy)
-    features = [c for ns in (CARD_NAMESPACE, MERCHANT_NAMESPACE) for c in in_namespace(out, ns, BASE_COLUMNS)]
-    return out.select(*BASE_COLUMNS, *features)
+    return out.select(*BASE_COLUMNS, *CARD_NAMES.values(), *MERCHANT_NAMES.values())
 
 
 def build(

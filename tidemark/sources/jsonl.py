@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,7 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType)
     """Scan with an explicit schema: no inference pass, no types that depend on the day's data.
 
     Blank lines are skipped. A line that is no JSON object, or has a value of the wrong type, goes to
-    ``rejects``.
+    ``rejects``; a decimal written as text is of the wrong type.
     """
     paths = [path] if isinstance(path, str) else list(path)
     return parse_lines(spark.read.text([hadoop_uri(p) for p in paths]), schema)
@@ -34,6 +35,14 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType)
 
 def parse_lines(lines: DataFrame, schema: T.StructType) -> Landed:
     """The same for a text scan, batch or streaming."""
+    return landed(judged(lines, schema))
+
+
+def judged(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per line that is not blank: ``row`` (of ``schema``), and for rejects ``line`` and ``file`` instead.
+
+    Lines are parsed once. Whoever needs rows and rejects, or passes over them several times, writes this and reads it back.
+    """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     # Parsed as an expression: the JSON source would parse only the columns a query asks for, and which
     # lines count as broken would depend on the query.
@@ -41,12 +50,29 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> Landed:
     filled = lines.filter(F.col("value").rlike(r"\S"))
     parsed = filled.select("value", "_metadata.file_path", F.from_json("value", full, options).alias("r"))
     broken = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
-    return Landed(
-        parsed.filter(~broken).select("r.*").drop(CORRUPT),
-        parsed.filter(broken).select(F.col("value").alias("line"), F.col("file_path").alias("file")),
+    for field in schema.fields:
+        if isinstance(field.dataType, T.DecimalType):
+            broken = broken | _written_as_text(field.name)
+    row = F.struct(*(F.col("r").getField(f.name).alias(f.name) for f in schema.fields))
+    return parsed.select(broken.alias("broken"), "value", "file_path", row.alias("row")).select(
+        F.when(~F.col("broken"), F.col("row")).alias("row"),
+        F.when(F.col("broken"), F.col("value")).alias("line"),
+        F.when(F.col("broken"), F.col("file_path")).alias("file"),
     )
 
 
+def _written_as_text(name: str) -> Column:
+    """Whether a top-level member of the JSON line ``value`` is a string. The type is looked up only where a quote follows the name."""
+    quoted = F.col("value").rlike(f'"{re.escape(name)}"\\s*:\\s*"')
+    member = F.try_variant_get(F.try_parse_json("value"), f'$["{name}"]', "variant")
+    return F.when(quoted, F.coalesce(F.schema_of_variant(member) == "STRING", F.lit(False))).otherwise(False)
+
+
+def landed(lines: DataFrame) -> Landed:
+    """Rows and rejects of judged lines."""
+    return Landed(lines.filter(F.col("row").isNotNull()).select("row.*"), lines.filter(F.col("row").isNull()).select("line", "file"))
+
+
 def typed(rows: DataFrame, time_columns: tuple[str, ...] = ("ts",)) -> DataFrame:
     """Text times to timestamps, for the time columns that exist."""
     return rows.withColumns({c: parse_ts(F.col(c)) for c in time_columns if c in rows.columns})

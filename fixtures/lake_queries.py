@@ -54,9 +54,9 @@ def roundtrip_json(spark, sf_dir):
 @query(
     "ingest_gate",
     with_tx(
-        "select 'transactions' as dataset, count_if(t_id % 50 <> 0) as n_rows, count_if(t_id % 50 = 0) as n_rejects, "
-        "'transactions: ' || count_if(t_id % 50 = 0) || ' unreadable lines' as gate from tx union all "
-        "select 'fraud_labels', count(*), 0, null from lab",
+        "select 'transactions' as dataset, count(*) filter (t_id % 50 <> 0) as n_rows, count(*) filter (t_id % 50 = 0) as n_rejects, "
+        "'transactions: ' || count(*) filter (t_id % 50 = 0) || ' unreadable lines' as gate from tx union all "
+        "select 'fraud_labels', count(*), cast(0 as bigint), null from lab",
         LABELS_SQL,
     ),
 )

@@ -222,3 +222,23 @@ def test_mix_texts(spark):
 def test_permutation(size):
     out = mixing.permuted(np.arange(size), np.full(size, size), np.full(size, 77))
     assert sorted(out.tolist()) == list(range(size))
+
+
+def test_a_round_of_codes_is_one_job_at_any_number_of_partitions(spark):
+    """The sums of a round come back in one job, not in one for each shuffle partition."""
+    table = [(k, [float((k * p) % 7 - 3) / 8 for p in range(1, 17)], k % 3) for k in range(40)]
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    spark.sparkContext.setJobGroup("codes-round", "codes-round")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        frame = vectors(spark, table)
+        books = codes.start(frame, entries=4)
+        started = len(spark.sparkContext.statusTracker().getJobIdsForGroup("codes-round"))
+        codes.round_of(frame, books)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("codes-round")) - started == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

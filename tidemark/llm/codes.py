@@ -148,8 +148,8 @@ def round_of(vectors: DataFrame, books: Codebooks, embedding: str = "embedding")
 
     found = _kept(vectors, embedding).select("__v").mapInArrow(sums, "slot long, total long")
     table = np.zeros(parts * n * (width + 1), np.int64)
-    # As many rows as the codebooks have numbers.
-    for slot, total in found.groupBy("slot").agg(F.sum("total").alias("total")).toLocalIterator():
+    # As many rows as the codebooks have numbers, sent in one job: an iterator would run a job for each shuffle partition.
+    for slot, total in found.groupBy("slot").agg(F.sum("total").alias("total")).collect():
         table[slot] = total
     table = table.reshape(parts, n, width + 1)
     return books.moved(table[:, :, 1:], table[:, :, 0])

@@ -244,6 +244,41 @@ def test_edit_distance():
         assert lines.edit_distance(a, b) == plain(a, b)
 
 
+def test_edit_distance_with_a_limit_and_bounds():
+    rng = random.Random(12)
+    for _ in range(400):
+        a = [rng.choice("abcde ") for _ in range(rng.randint(1, 200))]
+        b = list(a)
+        for _ in range(rng.choice([0, 5, 20, 60, 150])):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randint(0, 2)] = [rng.choice("abcde ") for _ in range(rng.randint(0, 2))]
+        a, b = "".join(a), "".join(b)
+        whole = lines.edit_distance(a, b)
+        assert int(lines.edits_at_least(lines.gram_counts(a), [lines.gram_counts(b)])[0]) <= whole
+        for limit in (0, whole - 1, whole, whole + 1, 30):
+            found = lines.edit_distance(a, b, limit)
+            assert found == whole if whole <= limit else limit < found <= whole
+
+
+def test_unlike_lines_of_a_region_make_no_rows(spark, monkeypatch):
+    """Rows grow with the lines of a region, not with their pairs, and no link is lost over the places of a region."""
+    from pyspark.sql import functions as F
+
+    rng, made = random.Random(14), Counter()
+    docs = [(k, " ".join(f"{rng.randrange(10**6)}" for _ in range(4))) for k in range(300)]
+    docs += [(300 + k, docs[k][1].replace(" ", " x", 1)) for k in range(0, 300, 30)]
+    kept = lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df, purpose: made.update({purpose: (out := kept(df, purpose)).count()}) or out)
+    monkeypatch.setattr(lines, "OUTERS", 50)
+    own = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("doc_id", "xxhash64(text) as text_hash", "text")
+    found = lines.occurrences(own, 4).withColumn("first", F.struct("doc_id", "text_hash", "line"))
+    same = kept(found.select("hash", F.lit(0).cast("bigint").alias("sim"), "letters", F.array(F.lit(7).cast("bigint")).alias("blocks"), "first"), "lines")
+    of = {r["hash"]: r["first"]["doc_id"] for r in same.collect()}
+    linked = {frozenset((of[r["a"]], of[r["b"]])) for r in lines.links(own, same, 4).collect()}
+    assert linked == {frozenset((k, 300 + k)) for k in range(0, 300, 30)}
+    assert made["line-pairs"] < 5 * len(docs)
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(k, k + 1) for k in range(300)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)] + [(-(2**63), 5000), (7, 7)] + [(9000, 9001 + k) for k in range(200)]

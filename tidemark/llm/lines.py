@@ -42,6 +42,10 @@ MIN_BLOCKS = 6
 SIMILAR = 0.8
 #: Rows of ids that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Lines, and letters of them, that a place of a region holds while the others pass by.
+OUTERS, OUTER_LETTERS = 1_000, 20_000_000
+#: Buckets of letters, of pairs and of triples.
+GRAMS = (61, 251, 509)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ORDERS = mix(np.arange(1, 2 * MIN_BLOCKS + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
 _WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
@@ -179,8 +183,12 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance, bit-parallel over the shorter text."""
+def _signs(bits: int, size: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits.to_bytes(size // 8 + 1, "little"), np.uint8), bitorder="little")[:size].astype(np.int64)
+
+
+def edit_distance(a: str, b: str, limit: int | None = None) -> int:
+    """Levenshtein distance, bit-parallel over the shorter text; some number above ``limit`` where the distance is above it."""
     n = _shared(a, b)
     a, b = a[n:][::-1], b[n:][::-1]
     n = _shared(a, b)
@@ -193,7 +201,9 @@ def edit_distance(a: str, b: str) -> int:
     for k, c in enumerate(a):
         match[c] = match.get(c, 0) | 1 << k
     ones, top, up, down, distance = (1 << len(a)) - 1, 1 << (len(a) - 1), (1 << len(a)) - 1, 0, len(a)
-    for c in b:
+    every = max(32, len(b) // 12) if limit is not None else len(b) + 1
+    left = len(a) - np.arange(1, len(a) + 1) if len(b) >= every else None
+    for done, c in enumerate(b, 1):
         eq = match.get(c, 0)
         x = eq | down
         eq |= ((eq & up) + up) ^ up
@@ -201,6 +211,12 @@ def edit_distance(a: str, b: str) -> int:
         distance += 1 if plus & top else -1 if minus & top else 0
         plus, minus = (plus << 1 | 1) & ones, minus << 1 & ones
         up, down = minus | (ones & ~(x | plus)), plus & x
+        if done % every == 0:
+            # Every way to the end passes this column, and needs as many further edits as the rests differ in length.
+            column = done + np.cumsum(_signs(up, len(a)) - _signs(down, len(a)))
+            least = min(done + abs(len(a) - len(b) + done), int((column + np.abs(left - (len(b) - done))).min()))
+            if least > limit:
+                return least
     return distance
 
 
@@ -208,7 +224,7 @@ def similar(a: str, b: str, least: float = SIMILAR) -> bool:
     longest = max(len(a), len(b))
     if min(len(a), len(b)) < least * longest:
         return False
-    return longest - edit_distance(a, b) >= least * longest
+    return longest - edit_distance(a, b, int((1 - least) * longest) + 1) >= least * longest
 
 
 def _held(df: DataFrame) -> DataFrame:
@@ -301,13 +317,97 @@ def links(docs: DataFrame, lines: DataFrame, least: int = LEAST, similarity: flo
     second = first.unionByName(_linked(stored(other.join(nearest, ["a", "b"], "left_anti"), "line-pairs"), texts, similarity))
     # A region of two is settled by its pivot.
     members = rooted(regions.where("n > 2").select("key", "pivot", "hash", "mark"), components(second), "hash", "pivot")
-    out = stored(members.where("root_hash <> root_pivot").select("key", F.col("hash").alias("a"), F.col("mark").alias("mark_a"), F.col("root_hash").alias("root_a")), "line-outer")
-    within = members.join(_held(stored(out.select("key").distinct(), "line-keys")), "key", "left_semi")
-    within = within.where("hash <> pivot").select("key", F.col("hash").alias("b"), F.col("mark").alias("mark_b"), F.col("root_hash").alias("root_b"))
-    rest = out.join(within, "key").where((F.col("root_a") != F.col("root_b")) & close("mark_a", "mark_b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    third = _linked(stored(rest.join(known, ["a", "b"], "left_anti"), "line-pairs"), texts, similarity)
-    return second.unionByName(third)
+    members = members.where("hash <> pivot").select("key", "hash", "mark.*", F.col("root_hash").alias("root"), (F.col("root_hash") != F.col("root_pivot")).alias("outer"))
+    outer = members.where("outer").groupBy("key").agg(F.greatest(F.ceil(F.count("*") / OUTERS), F.ceil(F.sum("letters") / OUTER_LETTERS)).alias("places"))
+    third = _linked_within(members.join(_held(stored(outer, "line-outer")), "key"), texts, similarity)
+    return second.unionByName(stored(third, "line-links"))
+
+
+def _linked_within(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of similar lines of different roots in one region, one of them ``outer``.
+
+    ``members``: key, hash, sim, letters, root, outer, places. A line travels once for each of its regions, and no pair travels: a place of a
+    region holds some of the outer lines, and the region's other lines pass by. An outer line passes the places after its own.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, None
+        for batch in batches:
+            a, b = [], []
+            columns = [c.to_pylist() for c in batch.columns[:7]]
+            for key, place, passing, one, sim, letters, root, text in zip(*columns, batch.column(7), strict=True):
+                if at != (key, place):
+                    at, held = (key, place), Held(similarity)
+                for other in held.like(sim, letters, root, text, None if passing else one):
+                    a.append(min(one, other))
+                    b.append(max(one, other))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    own = F.when(F.col("outer"), F.pmod(F.xxhash64("hash"), "places")).otherwise(F.lit(0))
+    dealt = members.withColumn("own", own).withColumn("place", F.explode(F.sequence("own", F.col("places") - 1)))
+    passing = (~F.col("outer") | (F.col("place") != F.col("own"))).alias("passing")
+    dealt = dealt.select("key", "place", passing, "hash", "sim", "letters", "root").join(texts, "hash")
+    dealt = dealt.repartition("key", "place").sortWithinPartitions("key", "place", "passing")
+    return dealt.select("key", "place", "passing", "hash", "sim", "letters", "root", "text").mapInArrow(compare, "a long, b long").distinct()
+
+
+class Held:
+    """Lines that others are compared with. Bounds on the edit distance, on all of them at once, come before the distance itself."""
+
+    def __init__(self, similarity: float):
+        self.similarity, self.size, self.names, self.texts = similarity, 0, [], []
+        self.sims, self.letters, self.roots = np.empty(8, np.uint64), np.empty(8, np.int64), np.empty(8, np.int64)
+        self.grams: dict[int, np.ndarray] = {}
+
+    def like(self, sim: int, letters: int, root: int, text: pa.StringScalar, name: int | None) -> list[int]:
+        """The names of the held lines of another root that are similar; then the line is held if it has a ``name``."""
+        n, own = self.size, None
+        sim = np.uint64(sim & (1 << 64) - 1)
+        low, high = np.minimum(self.letters[:n], letters), np.maximum(self.letters[:n], letters)
+        close = np.flatnonzero((np.bitwise_count(self.sims[:n] ^ sim) <= WIDE) & (low >= high * self.similarity) & (self.roots[:n] != root))
+        found = []
+        if len(close):
+            own = normalised(text.as_py())
+            mine = gram_counts(own)
+            for k in close.tolist():
+                if k not in self.grams:
+                    self.texts[k] = normalised(self.texts[k])
+                    self.grams[k] = gram_counts(self.texts[k])
+            for k, least in zip(close.tolist(), edits_at_least(mine, [self.grams[k] for k in close.tolist()]).tolist(), strict=True):
+                longest = max(len(own), len(self.texts[k]))
+                if longest - least >= self.similarity * longest and similar(own, self.texts[k], self.similarity):
+                    found.append(self.names[k])
+        if name is not None:
+            if n == len(self.sims):
+                self.sims, self.letters, self.roots = (np.concatenate([x, np.empty_like(x)]) for x in (self.sims, self.letters, self.roots))
+            self.sims[n], self.letters[n], self.roots[n] = sim, letters, root
+            self.names.append(name)
+            self.texts.append(text.as_py() if own is None else own)
+            if own is not None:
+                self.grams[n] = mine
+            self.size += 1
+        return found
+
+
+def gram_counts(text: str) -> np.ndarray:
+    """Counts of a text's letters, pairs and triples of letters, by hash, one after the other."""
+    x = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    y = x[:-1] * 8191 + x[1:]
+    z = y[:-1] * 8191 + x[2:]
+    counts = [np.bincount(g % size, minlength=size) for g, size in zip((x, y, z), GRAMS, strict=True)]
+    return np.concatenate(counts).astype(np.int32)
+
+
+def edits_at_least(counts: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """No fewer edits than this make one text of the other: an edit takes away at most q of the runs of q letters and adds at most q."""
+    out = np.zeros(len(others), np.int64)
+    for start in range(0, len(others), 256):
+        more = np.stack(others[start : start + 256]) - counts
+        for q, (first, last) in enumerate(zip(np.cumsum((0, *GRAMS[:-1])), np.cumsum(GRAMS), strict=True), 1):
+            part = more[:, first:last]
+            added, gone = np.maximum(part, 0).sum(axis=1), np.maximum(-part, 0).sum(axis=1)
+            out[start : start + 256] = np.maximum(out[start : start + 256], -(-np.maximum(added, gone) // q))
+    return out
 
 
 def dropped(docs: DataFrame, least: int = LEAST, similarity: float = SIMILAR) -> DataFrame:

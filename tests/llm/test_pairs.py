@@ -89,6 +89,32 @@ def test_jaccard_join_on_the_tables(spark):
     assert rows(queries.QUERIES["op1_jaccard_join"](spark, SF)) == brute_join(docs)[0]
 
 
+def test_unlike_sets_of_a_region_make_no_pairs(spark, monkeypatch):
+    """Edited copies that are not linked share regions: pairs grow with the copies, not with their square."""
+    rng, made = random.Random(17), Counter()
+    base = [f"w{k}" for k in range(60)]
+    docs = []
+    for k in range(150):
+        text = list(base)
+        for at in rng.sample(range(60), 4):
+            text[at] = f"x{rng.randrange(10**6)}"
+        docs.append((k, " ".join(text)))
+    docs += [(150 + k, docs[k][1] + " end") for k in range(5)]
+    kept = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, purpose: made.update({purpose: (out := kept(df, purpose)).count()}) or out)
+    assert rows(jaccard.report(spark.createDataFrame(docs, "doc_id bigint, text string"))) == brute_join(docs)[0]
+    assert made["pairs"] < 2 * len(docs)
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(4)
+    for size in (1, 40, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 1 << 63, 30, dtype=np.uint64)]))
+        assert int(np.bitwise_count((jaccard.parity(a) ^ jaccard.parity(b)).view(np.uint64)).sum()) <= len(np.setxor1d(a, b))
+    assert len(jaccard.parity(a)) == jaccard.PARITY // 64
+
+
 def test_one_document_of_each_group_stays(spark):
     docs = near_copies(seed=7, groups=3)
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "doc_id as text_hash")

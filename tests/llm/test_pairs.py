@@ -106,6 +106,28 @@ def test_unlike_sets_of_a_region_make_no_pairs(spark, monkeypatch):
     assert made["pairs"] < 2 * len(docs)
 
 
+def test_a_group_of_near_copies_sends_no_square_of_pairs(spark, monkeypatch):
+    """Copies with any of eight edits: two are linked if at most two edits differ, so few are linked with the pivot."""
+    rng, sent = random.Random(11), []
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    docs = []
+    for k, bits in enumerate(itertools.product((0, 1), repeat=8)):
+        text = list(base)
+        for at, bit in enumerate(bits):
+            if bit:
+                text[10 + 18 * at] = f"v{at}"
+        docs.append((k, " ".join(text)))
+    compared = jaccard._compared
+
+    def counted(pairs, *more):
+        sent.append(pairs.count())
+        return compared(pairs, *more)
+
+    monkeypatch.setattr(jaccard, "_compared", counted)
+    assert rows(jaccard.report(spark.createDataFrame(docs, "doc_id bigint, text string"))) == brute_join(docs)[0]
+    assert sum(sent) < 24 * len(docs)
+
+
 def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
     rng = np.random.default_rng(4)
     for size in (1, 40, 3000):

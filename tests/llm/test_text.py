@@ -62,6 +62,39 @@ def test_text_that_only_one_page_of_a_host_has_stays(spark):
     assert all(found[30 + k] == f"Few {k}\n\nOn four pages" for k in range(4))
 
 
+def test_the_expression_finds_what_optional_parts_move(spark):
+    parts = ["", "<div><h2>Figure {k}</h2></div>", "<div><h2>Figure {k}</h2></div><div><pre>code {k}</pre></div>"]
+    own = "<div>Same on all pages</div><div><blockquote><a href=x>{k} to follow</a></blockquote></div>"
+    pages = [(k, f"http://h.example/{k}", f"<body>{parts[k % 3]}{own}<section><p>Text of {k}</p></section></body>".format(k=k)) for k in range(12)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(5)
+    found = {r["page_id"]: r["text"] for r in wrappers.extract(frame).collect()}
+    # The like divs stand at three places, on four pages each: no path holds the same text on five pages.
+    assert found == {k: "\n\n".join([f"Figure {k}", f"code {k}"][: k % 3] + [f"Text of {k}"]) for k in range(12)}
+
+
+def test_each_page_of_a_host_matches_its_expression():
+    rng = random.Random(3)
+
+    def element(depth):
+        name = rng.choice(["div", "section", "p", "ul", "li", "h2"])
+        inner = "".join(element(depth - 1) if depth and rng.random() < 0.6 else f" t{rng.randint(0, 3)} " for _ in range(rng.randint(0, 3)))
+        return f"<{name}>{inner}</{name}>"
+
+    for _ in range(60):
+        pages = [wrappers.read("".join(element(3) for _ in range(rng.randint(0, 4)))) for _ in range(rng.randint(1, 8))]
+        whole = pages and wrappers.Wrapper.of(*pages[0])
+        for page in pages[1:]:
+            whole = whole.merge(wrappers.Wrapper.of(*page))
+        expression = wrappers.Expression(wrappers.Wrapper.load(whole.dump()).units)
+        for blocks, stream in pages:
+            units = [u for u, _ in wrappers.fold(stream)]
+            at = expression.match(units)
+            assert at == sorted(set(at)) and [whole.units[k][0] for k in at] == units
+            assert all(optional for k, (_, optional) in enumerate(whole.units) if k not in at)
+            assert len(expression.slots(blocks, stream)) == len(blocks)
+    assert wrappers.Expression([("#", False)]).match(["<div>"]) is None
+
+
 def test_html_text_on_the_tables(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in queries.QUERIES["op6_html_text"](spark, SF).collect():

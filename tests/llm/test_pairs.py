@@ -397,3 +397,52 @@ def test_small_world_graph_recall():
     found = sum(len(graph.within(q, 0.9, 32)) for q in v)
     assert found >= 0.97 * truth.sum()
     assert all((v[graph.within(q, 0.9, 32)] @ q >= 0.9).all() for q in v[:50])
+
+
+def test_edit_distances_of_many_pairs_are_those_of_each():
+    rng = random.Random(8)
+
+    def changed(text, edits):
+        letters = list(text)
+        for _ in range(edits):
+            at = rng.randrange(len(letters))
+            letters[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "é中", "ab"])
+            letters = letters or ["a"]
+        return "".join(letters)
+
+    pairs = [("", ""), ("", "a"), ("a", "a"), ("a", "b")]
+    for size in (3, 63, 64, 65, 128, 200, 700):
+        for _ in range(60):
+            a = "".join(rng.choice("abcde fé中\U00020000") for _ in range(size))
+            shared = "".join(rng.choice("abcdefgh") for _ in range(2 * size))
+            pairs.append((a, changed(a, rng.randint(0, size // 3))))
+            pairs.append((a[: size // 3] + shared + a, a[size // 2 :] + shared + changed(a, size // 4)))
+    assert lines.similar_pairs(pairs).tolist() == [lines.similar(a, b) for a, b in pairs]
+    assert lines.similar_pairs([]).tolist() == []
+    a, b = zip(*(sorted(p, key=len) for p in pairs if 64 < min(map(len, p)) <= 128), strict=True)
+    for limit in (0, 20, 1000):
+        found = lines.edit_distances(a, b, [limit] * len(a)).tolist()
+        whole = [lines.edit_distance(x, y) for x, y in zip(a, b, strict=True)]
+        assert all(f == w if w <= limit else f > limit for f, w in zip(found, whole, strict=True)) and (limit < 1000 or found == whole)
+
+
+def test_lines_of_several_common_regions_are_compared_once(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(40)]
+    texts = [" ".join([*(f"w{rng.random()}" for _ in range(4)), *passage, *(f"w{rng.random()}" for _ in range(4))]) for _ in range(30)]
+    texts += [t + " end" for t in texts[:5]]
+    members = [row for one in lines.hashed_lines(pa.array(texts), lines.LEAST) for row in zip(one.hash.tolist(), one.sim.tolist(), one.letters.tolist(), strict=True)]
+    names = {h: t for (h, _, _), t in zip(members, texts, strict=True)}
+    # Regions of two keys that hold all lines, each line a component of its own.
+    frame = spark.createDataFrame([(key, h, s, n, h, True, 1) for key in (7, -7) for h, s, n in members], "key bigint, hash bigint, sim bigint, letters bigint, root bigint, outer boolean, places bigint")
+    every = frame.groupBy("hash").agg(F.collect_set("key").alias("keys"))
+    by_hash = spark.createDataFrame([(h, t) for h, t in names.items()], "hash bigint, text string")
+    got = {tuple(r) for r in lines._linked_within(frame, every, by_hash, lines.SIMILAR).collect()}
+    close = {(a, b): ((sa ^ sb) & (1 << 64) - 1).bit_count() <= lines.WIDE for a, sa, _ in members for b, sb, _ in members if a < b}
+    assert got == {p for p, near in close.items() if near and lines.similar(lines.normalised(names[p[0]]), lines.normalised(names[p[1]]))} and len(got) >= 5
+    once, both = (lines.Held(lines.SIMILAR) for _ in range(2))
+    h, s, n = (np.array(x) for x in zip(*members, strict=True))
+    arguments = (np.ones(len(h), bool), h, s, n, h)
+    assert [*once.could(*arguments, [{-7}] * len(h), pa.array(texts))] == [] and len([*both.could(*arguments, [set()] * len(h), pa.array(texts))]) >= len(got)

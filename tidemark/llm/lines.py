@@ -44,16 +44,20 @@ SIMILAR = 0.8
 BROADCAST_ROWS = 1_000_000
 #: Lines, and letters of them, that a place of a region holds while the others pass by.
 OUTERS, OUTER_LETTERS = 1_000, 20_000_000
+#: Lines compared with the held ones at once; pairs, and letters of them, that are kept for the edit distance.
+BLOCK, KEPT_PAIRS, KEPT_LETTERS = 256, 16_384, 8_000_000
+#: Pairs, and letters of them, that the edit distance takes in step; fewer pairs, and lines of more words of 64 letters, go one by one.
+LEAST_PAIRS, STEP_PAIRS, STEP_LETTERS, STEP_WORDS = 24, 2_048, 500_000, 32
 #: Buckets of letters, of pairs and of triples.
 GRAMS = (61, 251, 509)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ORDERS = mix(np.arange(1, 2 * MIN_BLOCKS + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
 _WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def normalised(line: str) -> str:
-    return " ".join(_WORD.findall(line.translate(_LOWER)))
+    # Of bytes, only the letters A to Z have a lower case.
+    return " ".join(_WORD.findall(line.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")))
 
 
 def _line_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,18 +187,22 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
+def _rests(a: str, b: str) -> tuple[str, str]:
+    """Both texts reversed without their common beginning and end, the shorter first."""
+    n = _shared(a, b)
+    a, b = a[n:][::-1], b[n:][::-1]
+    n = _shared(a, b)
+    a, b = a[n:], b[n:]
+    return (b, a) if len(a) > len(b) else (a, b)
+
+
 def _signs(bits: int, size: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(bits.to_bytes(size // 8 + 1, "little"), np.uint8), bitorder="little")[:size].astype(np.int64)
 
 
 def edit_distance(a: str, b: str, limit: int | None = None) -> int:
     """Levenshtein distance, bit-parallel over the shorter text; some number above ``limit`` where the distance is above it."""
-    n = _shared(a, b)
-    a, b = a[n:][::-1], b[n:][::-1]
-    n = _shared(a, b)
-    a, b = a[n:], b[n:]
-    if len(a) > len(b):
-        a, b = b, a
+    a, b = _rests(a, b)
     if not a:
         return len(b)
     match: dict[str, int] = {}
@@ -227,6 +235,119 @@ def similar(a: str, b: str, least: float = SIMILAR) -> bool:
     return longest - edit_distance(a, b, int((1 - least) * longest) + 1) >= least * longest
 
 
+def edit_distances(a: list[str], b: list[str], limits: list[int]) -> np.ndarray:
+    """:func:`edit_distance` of many pairs with a limit each, in step: a row per 64 letters of the first texts, a column per pair.
+
+    No first text is empty or longer than its second; all have the same number of rows. Only rows that a way of ``limit`` edits can
+    reach take part; beyond them the distance counts as growing by one a letter, which is never too low.
+    """
+    order = sorted(range(len(a)), key=lambda k: len(b[k]))
+    m, n, limit = (np.array([x[k] for k in order], np.int64) for x in (list(map(len, a)), list(map(len, b)), limits))
+    size, words = len(order), -(-int(m.max()) // 64)
+
+    def letters(texts: list[str], length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Letters with their pairs, the pairs, and the places in the texts."""
+        pair = np.repeat(np.arange(size), length)
+        codes = np.frombuffer("".join(texts[k] for k in order).encode("utf-32-le", "surrogatepass"), np.uint32)
+        return pair << 32 | codes, pair, np.arange(len(pair)) - np.repeat(np.cumsum(length) - length, length)
+
+    known, _, place = letters(a, m)
+    known, row = np.unique(known, return_inverse=True)
+    match = np.zeros((words, len(known) + 1), np.uint64)
+    np.add.at(match, (place // 64, row), np.uint64(1) << (place % 64).astype(np.uint64))
+    own, pair, place = letters(b, n)
+    row = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    text = np.full((int(n.max()), size), len(known), np.int32)
+    text[place, pair] = np.where(known[row] == own, row, len(known))
+
+    one, high, full = np.uint64(1), np.uint64(63), ~np.uint64(0)
+    out, alive = np.empty(size, np.int64), np.arange(size)
+    up, down = np.full((words, size), full), np.zeros((words, size), np.uint64)
+    above, first = np.zeros(size, np.int64), 0  # the distance at the letter before the first row that takes part
+    column, start, shortest = 0, 0, int(n[0])
+    back, ahead = int((limit + n - m).max()) // 2 + 1, int((limit - n + m).max()) // 2 + 1
+    while len(alive):
+        low, last = min(max(0, (column - back) // 64), words - 1), min(words, (column + ahead) // 64 + 1)
+        if low > first:
+            above = above + (np.bitwise_count(up[first:low]).astype(np.int64) - np.bitwise_count(down[first:low])).sum(axis=0)
+            first = low
+        ups, downs = up[first:last], down[first:last]
+        x = match[first:last].take(text[column - start], axis=1)
+        total = x & ups
+        total += ups
+        carry = (total < ups)[:-1]
+        while carry.any():
+            total[1:] += carry
+            carry &= total[1:] == 0
+            carry = np.concatenate([np.zeros_like(carry[:1]), carry[:-1]])
+        total ^= ups
+        total |= x
+        x |= downs
+        plus = total | ups
+        np.invert(plus, out=plus)
+        plus |= downs
+        minus = np.bitwise_and(total, ups, out=total)
+        np.left_shift(plus, one, out=ups)
+        ups[0] |= one
+        ups[1:] |= plus[:-1] >> high
+        np.bitwise_and(ups, x, out=downs)
+        ups |= x
+        np.invert(ups, out=ups)
+        ups |= minus << one
+        ups[1:] |= minus[:-1] >> high
+        above += 1
+        column += 1
+        if column == shortest:
+            done = int(np.searchsorted(n, column, "right"))
+            inside = np.clip(m[:done] - 64 * np.arange(first, last)[:, None], 0, 64).astype(np.uint64)
+            inside = np.where(inside == 64, full, (one << (inside & high)) - one)
+            step = np.bitwise_count(ups[:, :done] & inside).astype(np.int64) - np.bitwise_count(downs[:, :done] & inside)
+            out[alive[:done]] = above[:done] + step.sum(axis=0)
+            alive, above, m, n, limit = (v[done:] for v in (alive, above, m, n, limit))
+            up, down, text = up[:, done:], down[:, done:], text[:, done:]
+            shortest = n[0] if len(n) else 0
+        if column % 32 == 0 and len(alive):
+            # Every way passes this column, and needs as many further edits as the rests differ in length. Their sum is known at every
+            # eighth letter; it changes by at most 2 a letter, so between two of these it is at most 8 below their mean.
+            step = np.bitwise_count(up[first:last].T.copy().view(np.uint8)).astype(np.int64) - np.bitwise_count(down[first:last].T.copy().view(np.uint8))
+            at = 8 * np.arange(8 * first, 8 * last + 1)[:, None]
+            least = np.concatenate([above[None], above + np.cumsum(step.T, axis=0)]) + np.abs((m - at) - (n - column))
+            least = np.where(at[1:] > m, least[:-1] - 16, (least[:-1] + least[1:]) // 2 - 8)
+            least = np.where(at[:-1] > m, np.iinfo(np.int64).max, least).min(axis=0)
+            far = least > limit
+            if 4 * far.sum() >= len(far):
+                out[alive[far]] = least[far]
+                alive, above, m, n, limit = (v[~far] for v in (alive, above, m, n, limit))
+                up, down, text, start = up[:, ~far], down[:, ~far], text[column - start :, ~far], column
+                shortest = n[0] if len(n) else 0
+    return out[np.argsort(order)]
+
+
+def similar_pairs(pairs: list[tuple[str, str]], least: float = SIMILAR) -> np.ndarray:
+    """:func:`similar` of each pair."""
+    out, rests = np.zeros(len(pairs), bool), []
+    for k, (x, y) in enumerate(pairs):
+        longest = max(len(x), len(y))
+        if min(len(x), len(y)) >= least * longest:
+            a, b = _rests(x, y)
+            rests.append((-(-len(a) // 64), len(b), k, a, b, int((1 - least) * longest) + 1, longest))
+    rests.sort(key=lambda rest: rest[:3])
+    first = 0
+    while first < len(rests):
+        words, last = rests[first][0], first + 1
+        while last < len(rests) and rests[last][0] == words and last - first < STEP_PAIRS and (last - first) * rests[last][1] < STEP_LETTERS:
+            last += 1
+        _, _, number, a, b, limits, longest = zip(*rests[first:last], strict=True)
+        if 0 < words <= STEP_WORDS and last - first >= LEAST_PAIRS:
+            distance = edit_distances(a, b, limits)
+        else:
+            distance = np.array([edit_distance(*rest) for rest in zip(a, b, limits, strict=True)])
+        longest = np.array(longest)
+        out[list(number)] = longest - distance >= least * longest
+        first = last
+    return out
+
+
 def _held(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
@@ -269,8 +390,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [similar(normalised(x.as_py()), normalised(y.as_py()), similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = similar_pairs([(normalised(x.as_py()), normalised(y.as_py())) for x, y in zip(batch.column(2), batch.column(3), strict=True)], similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     left, right = texts.select(F.col("hash").alias("a"), F.col("text").alias("x")), texts.select(F.col("hash").alias("b"), F.col("text").alias("y"))
     return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "line-links")
@@ -319,74 +440,102 @@ def links(docs: DataFrame, lines: DataFrame, least: int = LEAST, similarity: flo
     members = rooted(regions.where("n > 2").select("key", "pivot", "hash", "mark"), components(second), "hash", "pivot")
     members = members.where("hash <> pivot").select("key", "hash", "mark.*", F.col("root_hash").alias("root"), (F.col("root_hash") != F.col("root_pivot")).alias("outer"))
     outer = members.where("outer").groupBy("key").agg(F.greatest(F.ceil(F.count("*") / OUTERS), F.ceil(F.sum("letters") / OUTER_LETTERS)).alias("places"))
-    third = _linked_within(members.join(_held(stored(outer, "line-outer")), "key"), texts, similarity)
+    every = regions.groupBy("hash").agg(F.collect_set("key").alias("keys"))
+    third = _linked_within(members.join(_held(stored(outer, "line-outer")), "key"), every, texts, similarity)
     return second.unionByName(stored(third, "line-links"))
 
 
-def _linked_within(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _linked_within(members: DataFrame, every: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of similar lines of different roots in one region, one of them ``outer``.
 
     ``members``: key, hash, sim, letters, root, outer, places. A line travels once for each of its regions, and no pair travels: a place of a
-    region holds some of the outer lines, and the region's other lines pass by. An outer line passes the places after its own.
+    region holds some of the outer lines, and the region's other lines pass by. An outer line passes the places after its own. ``every``: hash, keys
+    (of all its regions); two lines are compared in the first region only that both are in.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, None
+        at, held, kept = None, None, 0  # letters of the pairs kept
+        ends: list[tuple[int, int]] = []
+        pairs: list[tuple[str, str]] = []
+
+        def linked() -> pa.RecordBatch:
+            found = np.array(ends, np.int64).reshape(-1, 2)[similar_pairs(pairs, similarity)]
+            ends.clear()
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found.min(axis=1, initial=2**63 - 1)), pa.array(found.max(axis=1, initial=-(2**63)))], ["a", "b"])
+
         for batch in batches:
-            a, b = [], []
-            columns = [c.to_pylist() for c in batch.columns[:7]]
-            for key, place, passing, one, sim, letters, root, text in zip(*columns, batch.column(7), strict=True):
-                if at != (key, place):
-                    at, held = (key, place), Held(similarity)
-                for other in held.like(sim, letters, root, text, None if passing else one):
-                    a.append(min(one, other))
-                    b.append(max(one, other))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            key, place, passing, *marks = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:7])
+            # The keys of a line's regions before this one.
+            before = [{x for x in keys if x < at} for keys, at in zip(batch.column(8).to_pylist(), key.tolist(), strict=True)]
+            starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1])))
+            for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+                if at != (key[first], place[first]):
+                    at, held = (key[first], place[first]), Held(similarity)
+                for start in range(first, last, BLOCK):
+                    rows = slice(start, min(start + BLOCK, last))
+                    for one, x, other, y in held.could(~passing[rows], *(m[rows] for m in marks), before[rows], batch.column(7)[rows]):
+                        ends.append((one, other))
+                        pairs.append((x, y))
+                        kept += len(x) + len(y)
+                        if len(ends) >= KEPT_PAIRS or kept >= KEPT_LETTERS:
+                            yield linked()
+                            kept = 0
+            yield linked()
+            kept = 0
 
     own = F.when(F.col("outer"), F.pmod(F.xxhash64("hash"), "places")).otherwise(F.lit(0))
     dealt = members.withColumn("own", own).withColumn("place", F.explode(F.sequence("own", F.col("places") - 1)))
     passing = (~F.col("outer") | (F.col("place") != F.col("own"))).alias("passing")
-    dealt = dealt.select("key", "place", passing, "hash", "sim", "letters", "root").join(texts, "hash")
+    dealt = dealt.select("key", "place", passing, "hash", "sim", "letters", "root").join(texts, "hash").join(every, "hash")
     dealt = dealt.repartition("key", "place").sortWithinPartitions("key", "place", "passing")
-    return dealt.select("key", "place", "passing", "hash", "sim", "letters", "root", "text").mapInArrow(compare, "a long, b long").distinct()
+    return dealt.select("key", "place", "passing", "hash", "sim", "letters", "root", "text", "keys").mapInArrow(compare, "a long, b long").distinct()
 
 
 class Held:
     """Lines that others are compared with. Bounds on the edit distance, on all of them at once, come before the distance itself."""
 
     def __init__(self, similarity: float):
-        self.similarity, self.size, self.names, self.texts = similarity, 0, [], []
-        self.sims, self.letters, self.roots = np.empty(8, np.uint64), np.empty(8, np.int64), np.empty(8, np.int64)
+        self.similarity, self.texts, self.before = similarity, [], []
+        self.names, self.letters, self.roots, self.sims = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
         self.grams: dict[int, np.ndarray] = {}
 
-    def like(self, sim: int, letters: int, root: int, text: pa.StringScalar, name: int | None) -> list[int]:
-        """The names of the held lines of another root that are similar; then the line is held if it has a ``name``."""
-        n, own = self.size, None
-        sim = np.uint64(sim & (1 << 64) - 1)
-        low, high = np.minimum(self.letters[:n], letters), np.maximum(self.letters[:n], letters)
-        close = np.flatnonzero((np.bitwise_count(self.sims[:n] ^ sim) <= WIDE) & (low >= high * self.similarity) & (self.roots[:n] != root))
-        found = []
-        if len(close):
-            own = normalised(text.as_py())
-            mine = gram_counts(own)
-            for k in close.tolist():
-                if k not in self.grams:
-                    self.texts[k] = normalised(self.texts[k])
-                    self.grams[k] = gram_counts(self.texts[k])
-            for k, least in zip(close.tolist(), edits_at_least(mine, [self.grams[k] for k in close.tolist()]).tolist(), strict=True):
-                longest = max(len(own), len(self.texts[k]))
-                if longest - least >= self.similarity * longest and similar(own, self.texts[k], self.similarity):
-                    found.append(self.names[k])
-        if name is not None:
-            if n == len(self.sims):
-                self.sims, self.letters, self.roots = (np.concatenate([x, np.empty_like(x)]) for x in (self.sims, self.letters, self.roots))
-            self.sims[n], self.letters[n], self.roots[n] = sim, letters, root
-            self.names.append(name)
-            self.texts.append(text.as_py() if own is None else own)
-            if own is not None:
-                self.grams[n] = mine
-            self.size += 1
-        return found
+    def could(self, hold: np.ndarray, name: np.ndarray, sim: np.ndarray, letters: np.ndarray, root: np.ndarray, keys: list[set[int]], text: pa.Array) -> Iterator[tuple[int, str, int, str]]:
+        """Names and normalised texts of lines and held lines of another root that no bound keeps from being similar.
+
+        Lines to ``hold`` come first; each of them is compared with those held before it, the others with all. Lines that share one of ``keys``
+        have been compared elsewhere.
+        """
+        sim, before, kept = sim.view(np.uint64), len(self.names), np.flatnonzero(hold)
+        if len(kept):
+            self.names, self.letters, self.roots, self.sims = (
+                np.concatenate([x, y[kept]]) for x, y in zip((self.names, self.letters, self.roots, self.sims), (name, letters, root, sim), strict=True)
+            )
+            self.texts += [text[k] for k in kept.tolist()]
+            self.before += [keys[k] for k in kept.tolist()]
+        upto = np.where(hold, before + np.arange(len(hold)), len(self.names))
+        close = (np.arange(len(self.names)) < upto[:, None]) & (self.roots != root[:, None]) & (np.bitwise_count(self.sims ^ sim[:, None]) <= WIDE)
+        close &= np.minimum(self.letters, letters[:, None]) >= np.maximum(self.letters, letters[:, None]) * self.similarity
+        for k in np.flatnonzero(close.any(axis=1)).tolist():
+            at = [x for x in np.flatnonzero(close[k]).tolist() if keys[k].isdisjoint(self.before[x])]
+            if not at:
+                continue
+            for other in at:
+                self._counted(other)
+            if hold[k]:
+                self._counted(before + k)
+                own, mine = self.texts[before + k], self.grams[before + k]
+            else:
+                mine = gram_counts(own := normalised(text[k].as_py()))
+            for other, least in zip(at, edits_at_least(mine, [self.grams[x] for x in at]).tolist(), strict=True):
+                longest = max(len(own), len(self.texts[other]))
+                if longest - least >= self.similarity * longest:
+                    yield int(name[k]), own, int(self.names[other]), self.texts[other]
+
+    def _counted(self, k: int) -> None:
+        if k not in self.grams:
+            self.texts[k] = normalised(self.texts[k].as_py())
+            self.grams[k] = gram_counts(self.texts[k])
 
 
 def gram_counts(text: str) -> np.ndarray:
